@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_hash"]
+MODULES = ["q_hash", "q_flatten", "q_lifecycle"]
 
 
 def load() -> None:
