@@ -135,8 +135,8 @@ def diff_tables(a: DataFrame, b: DataFrame, key: str, compat: bool = False) -> D
 def diff_rows(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """Rows added, dropped, changed or unchanged; a changed row yields one line per differing cell."""
     cols = [c for c in a.columns if c not in key]
-    x = a.select(*key, F.struct(*[F.col(c).cast("string") for c in cols]).alias("_a"))
-    y = b.select(*key, F.struct(*[F.col(c).cast("string") for c in cols]).alias("_b"))
+    text = F.struct(*[F.col(c).cast("string").alias(c) for c in cols])
+    x, y = a.select(*key, text.alias("_a")), b.select(*key, text.alias("_b"))
     j = x.join(y, key, "full_outer")
     cells = F.filter(
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_a.{c}").alias("old"), F.col(f"_b.{c}").alias("new"))

@@ -30,10 +30,11 @@ def ts(rev="rev_version"):
 
 def items(spark, sf) -> DataFrame:
     k = F.col("l_orderkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
-        F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("sop"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("size"),
+        F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("sop"),
+        cents.alias("size"),
         ((k % 10 != 7) & ~((k % 10 == 1) & (F.col("l_linenumber") == 1))).alias("p1"),
         (k % 10 != 3).alias("p2"),
         (k % 10 == 5).alias("chg"),
@@ -136,12 +137,14 @@ def versions_table(spark) -> DataFrame:
 
 def _edge(df, parent, pkey, child, ckey, parent_rev) -> DataFrame:
     """Parent/child pairs. ``parent_rev(v)`` is the revision of the parent that is alive at release v."""
-    at = F.explode(F.array(*[F.when(alive_at(v), F.lit(v)) for v in range(1, LAST + 1)]))
-    pairs = df.select("*", at.alias("_v")).filter(F.col("_v").isNotNull()).select(
-        uuid_of(parent, pkey, parent_rev(F.col("_v"))).alias(f"{parent}_uuid"),
-        uuid_of(child, ckey, "rev_version").alias(f"{child}_uuid"), "_v", "rev_version")
-    # A parent revision that covers both releases would list an unchanged child twice.
-    return pairs.dropDuplicates([f"{parent}_uuid", f"{child}_uuid"]).drop("_v", "rev_version")
+    # A parent revision that covers several releases lists an unchanged child at its first one only.
+    at = []
+    for v in range(1, LAST + 1):
+        again = alive_at(v - 1) & parent_rev(F.lit(v - 1)).eqNullSafe(parent_rev(F.lit(v))) if v > 1 else F.lit(False)
+        at.append(F.when(alive_at(v) & ~again, F.lit(v)))
+    pairs = df.select("*", F.explode(F.filter(F.array(*at), lambda x: x.isNotNull())).alias("_v"))
+    return pairs.select(uuid_of(parent, pkey, parent_rev(F.col("_v"))).alias(f"{parent}_uuid"),
+                        uuid_of(child, ckey, "rev_version").alias(f"{child}_uuid"))
 
 
 def _series_rev(key):
@@ -165,6 +168,20 @@ def edges(spark, sf) -> dict[str, DataFrame]:
     }
 
 
+def redactions(spark, sf) -> DataFrame:
+    """Withdrawn instances with the uuids and lifespans of instance, series and study."""
+    at = F.explode(F.filter(F.array(*[F.when(alive_at(v), F.lit(v)) for v in range(1, LAST + 1)]), lambda x: x.isNotNull()))
+    i = instance_versions(spark, sf).filter("red").select("*", at.alias("_v"))
+    rev = _series_rev("l_orderkey")(F.col("_v"))
+    k = F.col("l_orderkey") % 10
+    final = F.when(k == 3, 1).when(k.isin(1, 5) & (rev == 1), 1).otherwise(0)
+    up = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return i.join(up, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        uuid_of("instance", "sop", "rev_version").alias("i_uuid"), F.col("rev_version").alias("i_rev_version"),
+        F.col("final_version").alias("i_final_version"), uuid_of("series", "l_orderkey", rev).alias("se_uuid"),
+        rev.alias("se_rev_version"), final.alias("se_final_version"), uuid_of("study", "o_custkey", "_v").alias("st_uuid"))
+
+
 # --- lookups (40 DOIs) ----------------------------------------------------------------------------
 
 

@@ -23,7 +23,7 @@ ALIVE = "({a}_rev <= {v} AND ({v} <= {a}_final OR {a}_final = 0))"
 
 ITEMS = """items AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus,
-    concat_ws('.', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS sop,
+    concat_ws('.', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS sop,
     CAST(round(l_extendedprice * 100) AS BIGINT) AS size,
     (l_orderkey % 10 <> 7 AND NOT (l_orderkey % 10 = 1 AND l_linenumber = 1)) AS p1,
     (l_orderkey % 10 <> 3) AS p2, (l_orderkey % 10 = 5) AS chg, (l_quantity = 50) AS excluded,
