@@ -146,8 +146,8 @@ _SIG = f"CAST(round(round({_SPACE}, CAST(1 - floor(log10(abs({_SPACE}))) AS INTE
   CASE WHEN l_orderkey % 10 <> 9 THEN regexp_replace(string_agg(DISTINCT p_type || ':SCT:' || p_type, ',' ORDER BY p_type || ':SCT:' || p_type), '(^|,)[^:,]*:', '\\1', 'g') ELSE '' END AS "tissueFixative_code_designator_value_str",
   CASE WHEN l_orderkey % 10 <> 9 THEN regexp_replace(string_agg(DISTINCT p_brand || ':SCT:' || p_brand, ',' ORDER BY p_brand || ':SCT:' || p_brand), ':[^,]*', '', 'g') ELSE '' END AS "staining_usingSubstance_CodeMeaning",
   CASE WHEN l_orderkey % 10 <> 9 THEN regexp_replace(string_agg(DISTINCT p_brand || ':SCT:' || p_brand, ',' ORDER BY p_brand || ':SCT:' || p_brand), '(^|,)[^:,]*:', '\\1', 'g') ELSE '' END AS "staining_usingSubstance_code_designator_value_str",
-  CASE WHEN l_orderkey % 10 <> 9 THEN 'SCT:' || min(p_type) END AS "primaryAnatomicStructure_code_designator_value_str", CASE WHEN l_orderkey % 10 <> 9 THEN min(p_type) END AS "primaryAnatomicStructure_CodeMeaning",
-  CASE WHEN l_orderkey % 10 <> 9 THEN 'SCT:' || min(p_brand) END AS "primaryAnatomicStructureModifier_code_designator_value_str", CASE WHEN l_orderkey % 10 <> 9 THEN min(p_brand) END AS "primaryAnatomicStructureModifier_CodeMeaning",
+  CASE WHEN l_orderkey % 10 <> 9 THEN 'SCT:' || split_part(min('SCT:' || p_type || ':' || p_type), ':', 2) END AS "primaryAnatomicStructure_code_designator_value_str", CASE WHEN l_orderkey % 10 <> 9 THEN split_part(min('SCT:' || p_type || ':' || p_type), ':', 3) END AS "primaryAnatomicStructure_CodeMeaning",
+  CASE WHEN l_orderkey % 10 <> 9 THEN 'SCT:' || split_part(min('SCT:' || p_brand || ':' || p_brand), ':', 2) END AS "primaryAnatomicStructureModifier_code_designator_value_str", CASE WHEN l_orderkey % 10 <> 9 THEN split_part(min('SCT:' || p_brand || ':' || p_brand), ':', 3) END AS "primaryAnatomicStructureModifier_CodeMeaning",
   'DCM:111744' AS "illuminationType_code_designator_value_str", 'Brightfield illumination' AS "illuminationType_CodeMeaning", {_SIG} AS "min_PixelSpacing_2sf",
   CASE WHEN l_orderkey % 2 = 0 THEN max(l_linenumber) * 100 ELSE max(l_linenumber) * 10 END AS "max_TotalPixelMatrixColumns",
   CASE WHEN l_orderkey % 2 = 0 THEN max(l_linenumber) * 200 ELSE max(l_linenumber) * 20 END AS "max_TotalPixelMatrixRows",
