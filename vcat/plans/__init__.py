@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_hash", "q_flatten", "q_lifecycle", "q_redact", "q_manifests", "q_validate", "q_nested", "q_metadata"]
+MODULES = ["q_hash", "q_flatten", "q_lifecycle", "q_redact", "q_manifests", "q_validate", "q_nested", "q_metadata", "q_harmonise", "q_sources"]
 
 
 def load() -> None:
