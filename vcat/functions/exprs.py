@@ -83,9 +83,18 @@ def row_sha(*cols) -> Column:
     return F.sha2(F.concat_ws("\u0001", *cells), 256)
 
 
+def uuid_sql(level: str, key: str, rev: str) -> str:
+    """SQL text of a name-based id, from the SQL text of key and revision."""
+    h = f"md5(concat_ws('|', '{level}', {key}, {rev}))"
+    parts = ", ".join(f"substring({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"concat_ws('-', {parts})"
+
+
 def uuid_of(level: str, key, rev) -> Column:
     """Name-based id of one version of an object. It depends on the object only, so a retried task
     produces the same id."""
+    if isinstance(key, str) and isinstance(rev, str):
+        return F.expr(uuid_sql(level, key, rev))
     h = F.md5(F.concat_ws("|", F.lit(level), _c(key).cast("string"), _c(rev).cast("string")))
     return F.concat_ws(
         "-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]

@@ -98,7 +98,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 def compare_datasets(spark: SparkSession, a: str, b: str, skip: tuple[str, ...] = ()) -> DataFrame:
     """Fingerprints of two databases, table by table; NULL where a table is missing."""
     def prints(db):
-        names = [t.name for t in spark.catalog.listTables(db) if t.name not in skip]
+        names = [t.name for t in spark.catalog.listTables(db) if t.name not in skip and t.tableType != "TEMPORARY"]
         parts = [fingerprint(spark.table(f"{db}.{n}")).withColumn("table_name", F.lit(n)) for n in names]
         return reduce(DataFrame.unionByName, parts)
 
@@ -193,7 +193,7 @@ def missing_count(df: DataFrame, col: str) -> DataFrame:
 def check_metadata_tables(spark: SparkSession, db: str, table_meta: DataFrame, column_meta: DataFrame,
                           patients: DataFrame, id_col: str = "dicom_patient_id") -> DataFrame:
     """Clinical tables against their dictionaries: tables and columns must agree, patients be known."""
-    names = [t.name for t in spark.catalog.listTables(db) if t.tableType != "VIEW"]
+    names = [t.name for t in spark.catalog.listTables(db) if t.tableType not in ("VIEW", "TEMPORARY")]
     rows = [(n, c.name) for n in names for c in spark.table(f"{db}.{n}").schema]
     real = spark.createDataFrame(rows, "table_name string, column string")
     tables = unmatched(real.select("table_name").distinct(), table_meta.select("table_name").distinct(), ["table_name"])

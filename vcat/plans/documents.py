@@ -72,7 +72,9 @@ def reports(spark, sf):
                      kids.alias("ContentSequence"))
     head = F.struct(F.lit("CODE").alias("ValueType"), dcm("121058", "Procedure reported").alias("ConceptNameCodeSequence"),
                     F.array().cast(kids_type()).alias("ContentSequence"))
-    docs = group_rows(spark, sf).select("l_orderkey", F.struct("sop", group.alias("g")).alias("_g")).groupBy("l_orderkey").agg(
+    # Shuffle the narrow line items, then build the nested groups where they are collected.
+    rows = group_rows(spark, sf).repartition("l_orderkey")
+    docs = rows.select("l_orderkey", F.struct("sop", group.alias("g")).alias("_g")).groupBy("l_orderkey").agg(
         F.transform(F.array_sort(F.collect_list("_g")), lambda x: x["g"]).alias("_gs"))
     k = c("l_orderkey")
     template = F.when(k % 17 == 0, F.array().cast("array<struct<TemplateIdentifier:string,MappingResource:string>>")).otherwise(
@@ -113,7 +115,7 @@ def segmentation_docs(spark, sf):
         F.lit("AUTOMATIC").alias("SegmentAlgorithmType"),
         F.when(some, F.array(F.lit("alg"))).otherwise(F.array().cast("array<string>")).alias("SegmentAlgorithmName"),
         F.md5("sop").alias("TrackingUID"), c("sop").alias("TrackingID"))
-    docs = group_rows(spark, sf).select("l_orderkey", seg.alias("_s")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("_s")).alias("SegmentSequence"))
+    docs = group_rows(spark, sf).repartition("l_orderkey").select("l_orderkey", seg.alias("_s")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("_s")).alias("SegmentSequence"))
     ref = F.array(F.struct(F.concat(F.lit("img."), k).alias("ReferencedSOPInstanceUID")))
     none = F.array().cast(INSTANCES)
     pick = lambda i: F.when((k % 5 != 0) & (k % 3 == i), ref).otherwise(none)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vcat.functions.exprs import alive_at, uuid_of
+from vcat.functions.exprs import uuid_sql
 
 LAST = 2  # newest release
 TIMESTAMPS = {1: "2021-02-03 04:05:06", 2: "2022-03-04 05:06:07"}
@@ -20,119 +20,121 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _when(v, a, b):
-    return F.when(F.col(v) == 1, F.lit(a)).otherwise(F.lit(b))
+SMALL = 256 << 20
 
 
-def ts(rev="rev_version"):
-    return _when(rev, TIMESTAMPS[1], TIMESTAMPS[2]).cast("timestamp_ntz")
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A small table sits in one or two file splits, so that one or two cores would do all the hashing.
+    Spread it by its key over the cores. The size is checked: a table beyond ``SMALL`` bytes has enough
+    splits of its own and is not shuffled for this."""
+    size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size < SMALL else df
+
+
+def ts_sql(rev: str = "rev_version") -> str:
+    return f"CAST(CASE WHEN {rev} = 1 THEN '{TIMESTAMPS[1]}' ELSE '{TIMESTAMPS[2]}' END AS TIMESTAMP_NTZ)"
+
+
+def ts(rev: str = "rev_version"):
+    return F.expr(ts_sql(rev))
+
+
+# The fixtures are SQL expression text: one call per column instead of one per operator.
+_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+_ITEMS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
+    f"concat_ws('.', l_orderkey, l_linenumber, l_partkey, l_suppkey, {_CENTS}) AS sop", f"{_CENTS} AS size",
+    "l_orderkey % 10 <> 7 AND NOT (l_orderkey % 10 = 1 AND l_linenumber = 1) AS p1", "l_orderkey % 10 <> 3 AS p2",
+    "l_orderkey % 10 = 5 AS chg", "l_quantity = 50 AS excluded", "CASE WHEN l_orderkey % 2 = 0 THEN 'src_a' ELSE 'src_b' END AS source",
+    "(l_linenumber = 2 AND l_orderkey % 20 IN (0, 5)) OR l_orderkey % 100 = 40 AS red",
+)
 
 
 def items(spark, sf) -> DataFrame:
-    k = F.col("l_orderkey")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
-        F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("sop"),
-        cents.alias("size"),
-        ((k % 10 != 7) & ~((k % 10 == 1) & (F.col("l_linenumber") == 1))).alias("p1"),
-        (k % 10 != 3).alias("p2"),
-        (k % 10 == 5).alias("chg"),
-        (F.col("l_quantity") == 50).alias("excluded"),
-        F.when(k % 2 == 0, "src_a").otherwise("src_b").alias("source"),
-        (((F.col("l_linenumber") == 2) & (k % 20).isin(0, 5)) | (k % 100 == 40)).alias("red"),
-    )
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").selectExpr(*_ITEMS)
+
+
+def content_sql(rev: str) -> str:
+    return f"md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, size, CASE WHEN chg AND {rev} = 2 THEN 'r' END))"
 
 
 def content_hash(rev) -> F.Column:
+    """Content hash at a release: a column name or a literal."""
+    if isinstance(rev, str):
+        return F.expr(content_sql(rev))
     return F.md5(F.concat_ws(
         "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "size",
         F.when(F.col("chg") & (rev == 2), "r")))
 
 
-def _span(cond, a, b, c):
-    return F.when(cond, F.struct(F.lit(a).alias("init_version"), F.lit(b).alias("rev_version"),
-                                 F.lit(c).alias("final_version")))
-
-
-def _spans(df, p1, p2, chg) -> DataFrame:
+def _spans(df: DataFrame, p1: str, p2: str, chg: str) -> DataFrame:
     """One row per version of an object, from its presence in both releases and whether it changed."""
-    spans = F.array(
-        _span(p1 & p2 & chg, 1, 1, 1), _span(p1 & p2 & chg, 1, 2, 0), _span(p1 & p2 & ~chg, 1, 1, 0),
-        _span(p1 & ~p2, 1, 1, 1), _span(~p1 & p2, 2, 2, 0))
-    return df.select("*", F.inline(F.filter(spans, lambda s: s.isNotNull())))
+    rows = ((f"{p1} AND {p2} AND {chg}", 1, 1, 1), (f"{p1} AND {p2} AND {chg}", 1, 2, 0), (f"{p1} AND {p2} AND NOT {chg}", 1, 1, 0),
+            (f"{p1} AND NOT {p2}", 1, 1, 1), (f"NOT {p1} AND {p2}", 2, 2, 0))
+    spans = ", ".join(f"CASE WHEN {w} THEN named_struct('init_version', {a}, 'rev_version', {b}, 'final_version', {c}) END" for w, a, b, c in rows)
+    return df.selectExpr("*", f"inline(filter(array({spans}), s -> s IS NOT NULL))")
 
 
 def instance_versions(spark, sf) -> DataFrame:
-    return _spans(items(spark, sf), F.col("p1"), F.col("p2"), F.col("chg"))
+    return _spans(items(spark, sf), "p1", "p2", "chg")
 
 
 def series_versions(spark, sf) -> DataFrame:
-    k = F.col("o_orderkey") % 10
-    return _spans(table(spark, sf, "orders"), k != 7, k != 3, k.isin(1, 5))
+    return _spans(spread(table(spark, sf, "orders"), "o_orderkey"), "(o_orderkey % 10 <> 7)", "(o_orderkey % 10 <> 3)", "(o_orderkey % 10 IN (1, 5))")
 
 
 def upper_versions(spark, sf, name) -> DataFrame:
-    return _spans(table(spark, sf, name), F.lit(True), F.lit(True), F.lit(True))
+    return _spans(table(spark, sf, name), "true", "true", "true")
+
+
+def _hash3(h: str) -> str:
+    return f"named_struct('src_a', {h}, 'src_b', md5({h}), 'all', md5(md5({h}))) AS hashes"
 
 
-def _hashes(level, key):
-    h = F.md5(F.concat_ws("|", F.lit(level), F.col(key), "rev_version"))
-    return F.struct(h.alias("src_a"), F.md5(h).alias("src_b"), F.md5(F.md5(h)).alias("all"))
+_BOTH = "named_struct('src_a', true, 'src_b', true) AS sources"
 
 
-def _level(df, level, key, *cols, sources=None):
-    src = sources if sources is not None else F.struct(F.lit(True).alias("src_a"), F.lit(True).alias("src_b"))
-    return df.select(
-        *cols, uuid_of(level, key, "rev_version").alias("uuid"), ts().alias("min_timestamp"),
-        ts().alias("max_timestamp"), _hashes(level, key).alias("hashes"), src.alias("sources"),
-        "init_version", "rev_version", "final_version", F.lit(False).alias("redacted"))
+def _level(df, level, key, *cols, sources=_BOTH):
+    return df.selectExpr(
+        *cols, f"{uuid_sql(level, key, 'rev_version')} AS uuid", f"{ts_sql()} AS min_timestamp", f"{ts_sql()} AS max_timestamp",
+        _hash3(f"md5(concat_ws('|', '{level}', {key}, rev_version))"), sources, "init_version", "rev_version", "final_version",
+        "false AS redacted")
 
 
-def doi(key="o_orderkey"):
-    return F.concat(F.lit("10.5281/d."), F.col(key) % 40)
+_DOI = "concat('10.5281/d.', o_orderkey % 40)"
+
+
+def doi():
+    return F.expr(_DOI)
 
 
 def levels(spark, sf) -> dict[str, DataFrame]:
-    versions = versions_table(spark)
-    series = series_versions(spark, sf)
-    even = F.col("o_orderkey") % 2 == 0
-    inst = instance_versions(spark, sf)
     return {
-        "version": versions,
-        "collection": _level(upper_versions(spark, sf, "region"), "collection", "r_regionkey",
-                             F.col("r_name").alias("collection_id"),
-                             uuid_of("collection_uid", "r_regionkey", F.lit(0)).alias("collection_uid")),
-        "patient": _level(upper_versions(spark, sf, "nation"), "patient", "n_nationkey",
-                          F.col("n_name").alias("submitter_case_id"),
-                          uuid_of("case", "n_nationkey", F.lit(0)).alias("case_id")),
-        "study": _level(upper_versions(spark, sf, "customer"), "study", "c_custkey",
-                        F.concat(F.lit("st."), "c_custkey").alias("study_instance_uid"),
-                        (F.col("c_custkey") % 11).alias("study_instances")),
-        "series": _level(series, "series", "o_orderkey",
-                         F.concat(F.lit("se."), "o_orderkey").alias("series_instance_uid"),
-                         (F.col("o_orderkey") % 7).alias("series_instances"),
-                         doi().alias("source_doi"),
-                         F.concat(F.lit("https://doi.org/"), doi()).alias("source_url"),
-                         F.concat(doi(), F.lit(".v"), "rev_version").alias("versioned_source_doi"),
-                         F.lit(False).alias("excluded"),
-                         sources=F.struct(even.alias("src_a"), (~even).alias("src_b"))),
-        "instance": inst.select(
-            F.col("sop").alias("sop_instance_uid"), uuid_of("instance", "sop", "rev_version").alias("uuid"),
-            ts().alias("timestamp"), content_hash(F.col("rev_version")).alias("hash"), "source", "size",
-            "excluded", "init_version", "rev_version", "final_version", F.lit(False).alias("redacted"),
-            F.lit(None).cast("string").alias("mitigation"),
-            F.concat(F.lit("gs://in/"), "l_orderkey", F.lit("/"), "sop", F.lit(".dcm")).alias("ingestion_url")),
+        "version": versions_table(spark),
+        "collection": _level(upper_versions(spark, sf, "region"), "collection", "r_regionkey", "r_name AS collection_id",
+                             f"{uuid_sql('collection_uid', 'r_regionkey', '0')} AS collection_uid"),
+        "patient": _level(upper_versions(spark, sf, "nation"), "patient", "n_nationkey", "n_name AS submitter_case_id",
+                          f"{uuid_sql('case', 'n_nationkey', '0')} AS case_id"),
+        "study": _level(upper_versions(spark, sf, "customer"), "study", "c_custkey", "concat('st.', c_custkey) AS study_instance_uid",
+                        "c_custkey % 11 AS study_instances"),
+        "series": _level(series_versions(spark, sf), "series", "o_orderkey", "concat('se.', o_orderkey) AS series_instance_uid",
+                         "o_orderkey % 7 AS series_instances", f"{_DOI} AS source_doi", f"concat('https://doi.org/', {_DOI}) AS source_url",
+                         f"concat({_DOI}, '.v', rev_version) AS versioned_source_doi", "false AS excluded",
+                         sources="named_struct('src_a', o_orderkey % 2 = 0, 'src_b', o_orderkey % 2 = 1) AS sources"),
+        "instance": instance_versions(spark, sf).selectExpr(
+            "sop AS sop_instance_uid", f"{uuid_sql('instance', 'sop', 'rev_version')} AS uuid", f"{ts_sql()} AS timestamp",
+            f"{content_sql('rev_version')} AS hash", "source", "size", "excluded", "init_version", "rev_version", "final_version",
+            "false AS redacted", "CAST(NULL AS STRING) AS mitigation", "concat('gs://in/', l_orderkey, '/', sop, '.dcm') AS ingestion_url"),
     }
 
 
 def versions_table(spark) -> DataFrame:
-    h = F.md5(F.concat(F.lit("version|"), "version"))
-    return spark.range(1, LAST + 1).select(
-        F.col("id").cast("int").alias("version"), (F.col("id") - 1).cast("int").alias("previous_version"),
-    ).select("*", ts("version").alias("min_timestamp"), ts("version").alias("max_timestamp"),
-             F.struct(h.alias("src_a"), F.md5(h).alias("src_b"), F.md5(F.md5(h)).alias("all")).alias("hashes"),
-             F.struct(F.lit(True).alias("src_a"), F.lit(True).alias("src_b")).alias("sources"))
+    return spark.range(1, LAST + 1).selectExpr("CAST(id AS INT) AS version", "CAST(id - 1 AS INT) AS previous_version").selectExpr(
+        "*", f"{ts_sql('version')} AS min_timestamp", f"{ts_sql('version')} AS max_timestamp", _hash3("md5(concat('version|', version))"), _BOTH)
+
+
+def _alive(v: int) -> str:
+    return f"(rev_version <= {v} AND ({v} <= final_version OR final_version = 0))"
 
 
 def _edge(df, parent, pkey, child, ckey, parent_rev) -> DataFrame:
@@ -140,24 +142,21 @@ def _edge(df, parent, pkey, child, ckey, parent_rev) -> DataFrame:
     # A parent revision that covers several releases lists an unchanged child at its first one only.
     at = []
     for v in range(1, LAST + 1):
-        again = alive_at(v - 1) & parent_rev(F.lit(v - 1)).eqNullSafe(parent_rev(F.lit(v))) if v > 1 else F.lit(False)
-        at.append(F.when(alive_at(v) & ~again, F.lit(v)))
-    pairs = df.select("*", F.explode(F.filter(F.array(*at), lambda x: x.isNotNull())).alias("_v"))
-    return pairs.select(uuid_of(parent, pkey, parent_rev(F.col("_v"))).alias(f"{parent}_uuid"),
-                        uuid_of(child, ckey, "rev_version").alias(f"{child}_uuid"))
+        again = f"({_alive(v - 1)} AND {parent_rev(v - 1)} <=> {parent_rev(v)})" if v > 1 else "false"
+        at.append(f"CASE WHEN {_alive(v)} AND NOT {again} THEN {v} END")
+    pairs = df.selectExpr("*", f"explode(filter(array({', '.join(at)}), x -> x IS NOT NULL)) AS _v")
+    return pairs.selectExpr(f"{uuid_sql(parent, pkey, parent_rev('_v'))} AS {parent}_uuid", f"{uuid_sql(child, ckey, 'rev_version')} AS {child}_uuid")
 
 
 def _series_rev(key):
-    k = F.col(key) % 10
-    return lambda v: F.when(k.isin(1, 5), v).when(k == 7, F.lit(2)).otherwise(F.lit(1))
+    return lambda v: f"(CASE WHEN {key} % 10 IN (1, 5) THEN {v} WHEN {key} % 10 = 7 THEN 2 ELSE 1 END)"
 
 
 def edges(spark, sf) -> dict[str, DataFrame]:
-    each = lambda v: v  # noqa: E731  collections, patients and studies are revised in every release
-    coll = upper_versions(spark, sf, "region")
+    each = lambda v: f"{v}"  # noqa: E731  collections, patients and studies are revised in every release
     return {
-        "version_collection": coll.select(F.col("rev_version").alias("version"),
-                                          uuid_of("collection", "r_regionkey", "rev_version").alias("collection_uuid")),
+        "version_collection": upper_versions(spark, sf, "region").selectExpr(
+            "rev_version AS version", f"{uuid_sql('collection', 'r_regionkey', 'rev_version')} AS collection_uuid"),
         "collection_patient": _edge(upper_versions(spark, sf, "nation"), "collection", "n_regionkey",
                                     "patient", "n_nationkey", each),
         "patient_study": _edge(upper_versions(spark, sf, "customer"), "patient", "c_nationkey",
@@ -170,16 +169,15 @@ def edges(spark, sf) -> dict[str, DataFrame]:
 
 def redactions(spark, sf) -> DataFrame:
     """Withdrawn instances with the uuids and lifespans of instance, series and study."""
-    at = F.explode(F.filter(F.array(*[F.when(alive_at(v), F.lit(v)) for v in range(1, LAST + 1)]), lambda x: x.isNotNull()))
-    i = instance_versions(spark, sf).filter("red").select("*", at.alias("_v"))
-    rev = _series_rev("l_orderkey")(F.col("_v"))
-    k = F.col("l_orderkey") % 10
-    final = F.when(k == 3, 1).when(k.isin(1, 5) & (rev == 1), 1).otherwise(0)
+    at = ", ".join(f"CASE WHEN {_alive(v)} THEN {v} END" for v in range(1, LAST + 1))
+    i = instance_versions(spark, sf).filter("red").selectExpr("*", f"explode(filter(array({at}), x -> x IS NOT NULL)) AS _v")
+    rev = _series_rev("l_orderkey")("_v")
     up = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return i.join(up, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        uuid_of("instance", "sop", "rev_version").alias("i_uuid"), F.col("rev_version").alias("i_rev_version"),
-        F.col("final_version").alias("i_final_version"), uuid_of("series", "l_orderkey", rev).alias("se_uuid"),
-        rev.alias("se_rev_version"), final.alias("se_final_version"), uuid_of("study", "o_custkey", "_v").alias("st_uuid"))
+    return i.join(up, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        f"{uuid_sql('instance', 'sop', 'rev_version')} AS i_uuid", "rev_version AS i_rev_version", "final_version AS i_final_version",
+        f"{uuid_sql('series', 'l_orderkey', rev)} AS se_uuid", f"{rev} AS se_rev_version",
+        f"CASE WHEN l_orderkey % 10 = 3 THEN 1 WHEN l_orderkey % 10 IN (1, 5) AND {rev} = 1 THEN 1 ELSE 0 END AS se_final_version",
+        f"{uuid_sql('study', 'o_custkey', '_v')} AS st_uuid")
 
 
 # --- lookups (40 DOIs) ----------------------------------------------------------------------------
@@ -238,7 +236,7 @@ def source_stack(spark, sf) -> dict[str, DataFrame]:
         "instance": items(spark, sf).select(
             F.col("sop").alias("sop_instance_uid"),
             F.concat(F.lit("se."), "l_orderkey").alias("series_instance_uid"),
-            content_hash(F.lit(1)).alias("hash"),
+            content_hash('1').alias("hash"),
             F.concat(F.lit("gs://in/"), "l_orderkey", F.lit("/"), "sop", F.lit(".dcm")).alias("ingestion_url"),
             "size", "excluded", F.lit(1).alias("version"), no.alias("redacted"),
             F.lit(None).cast("string").alias("mitigation")),

@@ -129,8 +129,7 @@ def q10(spark, sf):
 @query("d1_web_id_sql", "SELECT p_partkey, replace(replace(lower(p_name || '-' || p_brand), '-', '_'), ' ', '_') AS id FROM part")
 def d1(spark, sf):
     X.register_functions(spark)
-    table(spark, sf, "part").createOrReplaceTempView("vcat_part")
-    return spark.sql("SELECT p_partkey, web_id(p_name || '-' || p_brand) AS id FROM vcat_part")
+    return table(spark, sf, "part").selectExpr("p_partkey", "web_id(p_name || '-' || p_brand) AS id")
 
 
 @query("d2_merkle", with_("items") + f"""SELECT l_suppkey, l_returnflag, {merkle('h')} AS hash
@@ -275,9 +274,12 @@ def f17(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(TC.links_to_text("html")).alias("text_md5"))
 
 
-@query("f18_links_to_modal")
+@query("f18_links_to_modal", r"""SELECT page_id, md5(replace(regexp_replace(regexp_replace(h, 'href="([^"]*\.gov[^"]*)"', 'hrefgov="\1"', 'gi'),
+  '<a\s+[^>]*?href="(.*?)"[^>]*?>(.*?)</a>', '<a  href="" url="\1" data-toggle="modal" data-target="#external-web-warning" class="external-link">\2<i class="fa-solid fa-external-link external-link-icon" aria-hidden="true"></i></a>', 'gis'),
+  'hrefgov="', 'href="')) AS html_md5 FROM (SELECT page_id, replace(html, 'href="/t', 'href="/x.gov/t') AS h FROM pages)""")
 def f18(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(TC.links_to_modal("html")).alias("html_md5"))
+    h = F.replace("html", F.lit('href="/t'), F.lit('href="/x.gov/t'))
+    return table(spark, sf, "pages").select("page_id", F.md5(TC.links_to_modal(h)).alias("html_md5"))
 
 
 @query("f19_clean_lines", r"""SELECT doc_id, md5(replace(array_to_string(list_filter(string_split(

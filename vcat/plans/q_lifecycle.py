@@ -31,7 +31,7 @@ def offered(spark, sf, v):
     """Instances the sources offer for release v."""
     df = fx.items(spark, sf).filter(F.col(f"p{v}"))
     s = F.col("source")
-    return df.select(*KEY, _struct(s, fx.content_hash(F.lit(v))).alias("hashes"), _has(s).alias("sources"))
+    return df.select(*KEY, _struct(s, fx.content_hash(str(v))).alias("hashes"), _has(s).alias("sources"))
 
 
 def stored(spark, sf):
@@ -50,7 +50,7 @@ def v1(spark, sf):
 
 
 def series_at(spark, sf, v):
-    df = fx.items(spark, sf).filter(F.col(f"p{v}")).withColumn("h", fx.content_hash(F.lit(v)))
+    df = fx.items(spark, sf).filter(F.col(f"p{v}")).withColumn("h", fx.content_hash(str(v)))
     rolled = L.series_rollup(df, ["l_orderkey"], "h", "source", ["sop"])
     src = F.col("l_orderkey") % 2 == 0
     return rolled.select("l_orderkey", "hashes", F.struct(src.alias("src_a"), (~src).alias("src_b")).alias("sources"))
@@ -229,7 +229,7 @@ def manifest(spark, sf):
     seventh lines as a new series of a new study."""
     n = F.col("l_linenumber")
     df = fx.items(spark, sf).filter("l_orderkey % 4 = 0 AND l_linenumber IN (1, 2, 3, 7)")
-    h = fx.content_hash(F.lit(1))
+    h = fx.content_hash("1")
     return df.select(
         F.lit("NEWCOLL").alias("collection_id"), F.lit("NEWPAT").alias("submitter_case_id"),
         F.concat(F.lit("st.new."), F.col("l_orderkey") % 10).alias("study_instance_uid"),

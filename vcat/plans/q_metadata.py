@@ -75,12 +75,12 @@ def a19(spark, sf):
     return MD.version_metadata(vs.join(seen, "version", "left_semi")).withColumn("version_timestamp", F.col("version_timestamp").cast("string"))
 
 
-_OCM = """ocm AS (SELECT s_suppkey, 'col-' || s_suppkey AS cid, p_type AS tag, p_brand AS brand, p_partkey FROM (SELECT DISTINCT l_suppkey AS s_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey)"""
+_OCM = """ocm AS (SELECT s_suppkey, 'col-' || s_suppkey AS cid, p_type AS tag, p_brand AS brand, p_partkey FROM (SELECT DISTINCT l_suppkey % 200 AS s_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey)"""
 
 
 def tagged(spark, sf):
-    """Per supplier: comma lists of the types and brands it sells, and two sources."""
-    sold = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct().join(
+    """Per collection (200 groups of suppliers): comma lists of the types and brands sold, two sources."""
+    sold = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 200).alias("l_suppkey"), "l_partkey").distinct().join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     lists = MD.list_of(sold, ["l_suppkey"], "p_type", "CancerTypes", " , ").join(MD.list_of(sold, ["l_suppkey"], "p_brand", "TumorLocations"), "l_suppkey")
     k = F.col("l_suppkey")

@@ -20,7 +20,7 @@ def manifest_rows(spark, sf):
         F.lit("coll").alias("collection_id"), F.concat(F.lit("p"), F.col("l_orderkey") % 25).alias("submitter_case_id"),
         F.concat(F.lit("st."), "l_suppkey").alias("study_instance_uid"), F.concat(F.lit("se."), "l_orderkey").alias("series_instance_uid"),
         F.col("sop").alias("sop_instance_uid"), F.concat(F.lit("in/"), "sop").alias("ingestion_url"),
-        fx.content_hash(F.lit(1)).alias("hash"), "size")
+        fx.content_hash("1").alias("hash"), "size")
 
 
 _MAN = f"""SELECT 'coll' AS collection_id, 'p' || (l_orderkey % 25) AS submitter_case_id, 'st.' || l_suppkey AS study_instance_uid, 'se.' || l_orderkey AS series_instance_uid,
@@ -38,16 +38,21 @@ def s1(spark, sf):
 
 
 def _tree_of_files(spark, sf):
-    """One small file per line of the page table's buckets, in two folders."""
+    """A folder per sixteen pages with one small file of their urls: the number of files grows, not
+    their size."""
     path = P.scratch_dir(spark) + "/files"
-    table(spark, sf, "pages").select((F.col("page_id") % 8).alias("bucket"), F.col("url").alias("value")).repartition("bucket").sortWithinPartitions("value").write.partitionBy("bucket").text(path)
+    table(spark, sf, "pages").select(F.floor(F.col("page_id") / 16).alias("bucket"), F.col("url").alias("value")).repartition(
+        "bucket").sortWithinPartitions("bucket", "value").write.partitionBy("bucket").text(path)
     return path
 
 
-@query("s2_file_manifest")
+_FILES = "files AS (SELECT CAST(page_id // 16 AS VARCHAR) AS bucket, md5(string_agg(url || chr(10), '' ORDER BY url)) AS hash, CAST(sum(strlen(url) + 1) AS BIGINT) AS size FROM pages GROUP BY 1)"
+
+
+@query("s2_file_manifest", f"WITH {_FILES} SELECT bucket, hash, size FROM files WHERE bucket <> '1'")
 def s2(spark, sf):
     path = _tree_of_files(spark, sf)
-    done = R.file_manifest(spark, path, include="bucket=3/").select("ingestion_url")
+    done = R.file_manifest(spark, path, include="bucket=1/").select("ingestion_url")
     out = R.file_manifest(spark, path, exclude_suffixes=("_SUCCESS", ".crc"), include="bucket=", done=done)
     return out.select(F.regexp_extract("ingestion_url", "bucket=([0-9]+)", 1).alias("bucket"), "hash", "size")
 
@@ -183,7 +188,7 @@ def t1(spark, sf):
     return spark.read.parquet(f"{base}/table")
 
 
-@query("q11_hash_check")
+@query("q11_hash_check", f"WITH {_FILES} SELECT bucket AS url, md5(hash) AS md5, hash AS found_md5 FROM files WHERE CAST(bucket AS INTEGER) % 2 = 0")
 def q11(spark, sf):
     """Every second bucket's manifest hash is wrong; files are checked against their content."""
     files = R.file_manifest(spark, _tree_of_files(spark, sf), exclude_suffixes=("_SUCCESS", ".crc")).select(

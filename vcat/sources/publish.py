@@ -31,6 +31,14 @@ def materialize(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write a result to the scratch folder and read it back. Its lineage ends there, and its size is
+    known from then on: the planner broadcasts it while it is below the threshold, and only then."""
+    path = f"{scratch_dir(df.sparkSession)}/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def export_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep="\t", header=True)
 
