@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for intermediate results: below the shared folder the cluster names in
     ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     return f"{base.rstrip('/')}/vcat-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="vcat-")
 
 
