@@ -35,7 +35,6 @@ def current(spark, sf):
     return FL.current(public(spark, sf), fx.LAST)
 
 
-FMT = "yyyy-MM-dd HH:mm:ss"
 TS = "CASE WHEN {c} = 1 THEN '2021-02-03 04:05:06' ELSE '2022-03-04 05:06:07' END"
 ALL3 = "md5(md5(md5('{lv}|' || {k} || '|' || {r})))"
 
@@ -48,7 +47,7 @@ def _shown(df):
         if kind == "struct":
             out += [F.col(f"{f.name}.{x}").alias(f"{f.name}_{x}") for x in f.dataType.names]
         elif kind.startswith("timestamp"):
-            out.append(F.date_format(f.name, FMT).alias(f.name))
+            out.append(F.col(f.name).cast("string").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -195,7 +194,8 @@ nvd AS (SELECT DISTINCT c.source_doi, c.versioned_source_doi AS nv FROM current_
 
 @query("j5_newest_versioned_doi", with_("current_rows", extra=_NEWEST) + "SELECT source_doi, nv AS versioned_source_doi FROM nvd")
 def j5(spark, sf):
-    return FL.newest_versioned_doi(current(spark, sf))
+    cur = current(spark, sf).select("source_doi", "versioned_source_doi", "i_source", "i_rev_version").distinct()
+    return FL.newest_versioned_doi(settle(cur))
 
 
 @query("w1_latest_per_key", """SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1""")
@@ -225,7 +225,8 @@ _DEVB = "CASE WHEN se_rev = 2 THEN 'v2_' || i_source || '_' || lower(replace(col
 
 
 def aux(spark, sf, target="pub"):
-    cur = current(spark, sf)
+    """The current public rows feed both the DOI look-up and the table itself: joined once, read twice."""
+    cur = settle(current(spark, sf))
     return FL.auxiliary(cur, fx.license_lookup(spark), FL.newest_versioned_doi(cur), target, fx.LAST)
 
 

@@ -12,6 +12,7 @@ from vcat.plans.fixtures import table
 from vcat.plans.oracle import content, merkle, uuid, with_
 from vcat.plans.q_flatten import joined
 from vcat.plans.registry import query
+from vcat.sources.publish import settle
 
 _UP = " UNION ALL ".join(f"SELECT {uuid(lv, key, 'v')} AS id FROM {t}, (VALUES (1), (2)) x(v)" for lv, key, t in
                          (("collection", "r_regionkey", "region"), ("patient", "n_nationkey", "nation"), ("study", "c_custkey", "customer")))
@@ -50,7 +51,7 @@ def _found(spark, sf, expected_with_key):
 
 @query("q3_listing_diff", with_("joined", extra=_EXP.format(n=_NAME)) + _FOUND)
 def q3(spark, sf):
-    j = joined(spark, sf)
+    j = settle(joined(spark, sf).select("series_instance_uid", "se_uuid", "i_uuid", "pub_gcs_bucket", "i_excluded", "i_redacted", "se_rev_version"))
     k = F.regexp_replace("series_instance_uid", "se.", "").cast("bigint")
     listed = j.filter("NOT i_excluded").select(F.col("pub_gcs_bucket").alias("bucket"),
                                                F.concat("se_uuid", F.lit("/"), "i_uuid", F.lit(".dcm")).alias("name"), k.alias("k"))
@@ -59,7 +60,7 @@ def q3(spark, sf):
 
 @query("q3_listing_diff_series", with_("joined", extra=_EXP.format(n="se_uuid")) + _FOUND)
 def q3s(spark, sf):
-    j = joined(spark, sf)
+    j = settle(joined(spark, sf).select("series_instance_uid", "se_uuid", "i_uuid", "pub_gcs_bucket", "i_excluded", "i_redacted", "se_rev_version"))
     k = F.regexp_replace("series_instance_uid", "se.", "").cast("bigint")
     listed = j.filter("NOT i_excluded").select(F.col("pub_gcs_bucket").alias("bucket"), F.col("se_uuid").alias("name"), k.alias("k"))
     return V.diff_listing(V.expected_listing(j, 2, "series"), _found(spark, sf, listed))
