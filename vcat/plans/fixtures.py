@@ -27,6 +27,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """A small table sits in one or two file splits, so that one or two cores would do all the hashing.
     Spread it by its key over the cores. The size is checked: a table beyond ``SMALL`` bytes has enough
     splits of its own and is not shuffled for this."""
+    if not hasattr(df, "_jdf"):  # no size estimate over Spark Connect
+        return df
     size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size < SMALL else df
 
