@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vcat.operators import metadata as MD
-from vcat.operators.redact import apply_patch  # noqa: F401
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import with_
-from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, flat, image_rows, joined
+from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, flat, image_rows
 from vcat.plans.registry import query
 
 
 def records(spark, sf):
     """Catalogue records: one per region, with one source per residue of the DOI number modulo 8."""
     k = F.col("r_regionkey")
-    lic = lambda i: F.struct(F.concat(F.lit("u"), i).alias("url"), F.concat(F.lit("long "), i).alias("long_name"), F.concat(F.lit("s"), i).alias("short_name"))
     src = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.named_struct(
         F.lit("title"), F.concat(F.lit("t"), i), F.lit("concept_doi"), F.when(i == 0, F.concat(F.lit("10.5281/d."), k)),
         F.lit("source_doi"), F.concat(F.lit("10.5281/d."), k + i * 5), F.lit("source_url"), F.concat(F.lit("https://doi.org/10.5281/d."), k + i * 5),
@@ -154,8 +152,7 @@ def n14(spark, sf):
   coalesce(mods, '') AS modalities, CASE WHEN k = 8 THEN 'eight' ELSE '' END AS description FROM res LEFT JOIN x ON d = doi""")
 def n15(spark, sf):
     up = results(spark).drop("source_doi").withColumnRenamed("source_doi_upper", "source_doi")
-    desc = results(spark).filter("k = 8").select(F.col("analysis_result_id").alias("id"), F.lit("eight").alias("description")) if "k" in results(spark).columns else \
-        results(spark).filter("analysis_result_id = 'Res-8'").select(F.col("analysis_result_id").alias("id"), F.lit("eight").alias("description"))
+    desc = results(spark).filter("analysis_result_id = 'Res-8'").select(F.col("analysis_result_id").alias("id"), F.lit("eight").alias("description"))
     out = MD.analysis_metadata(up, current(spark, sf), image_rows(spark, sf), desc)
     return out.select("analysis_result_id", "analysis_result_title", "source_doi", "cancer_types", "tumor_locations", "collections", "subjects", "modalities", "description")
 

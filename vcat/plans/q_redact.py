@@ -10,7 +10,7 @@ from vcat.operators.validate import missing_count
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import merkle, uuid, with_
-from vcat.plans.q_flatten import _shown, flat, joined
+from vcat.plans.q_flatten import flat, joined
 from vcat.plans.registry import query
 
 _RED = """red_rows AS (SELECT DISTINCT i_uuid, se_uuid, st_uuid, p_uuid, c_uuid, i_rev, i_final, se_rev, se_final, up_rev, up_final,

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vcat.functions.merkle import merkle_rollup
-from vcat.operators import lifecycle as L
 from vcat.operators import validate as V
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
-from vcat.plans.oracle import content, merkle, uuid, with_
+from vcat.plans.oracle import uuid, with_
 from vcat.plans.q_flatten import joined
 from vcat.plans.registry import query
 from vcat.sources.publish import settle
