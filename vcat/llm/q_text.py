@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vcat.llm import minhash
+from vcat.llm import collide, minhash
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -10,3 +10,8 @@ from vcat.llm.registry import query
 @query("op3_super_minhash")
 def op3_super_minhash(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), k=2, percent=80)
+
+
+@query("op2_collision_counting")
+def op2_collision_counting(spark, sf):
+    return collide.near_vectors(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), least=0.98)
