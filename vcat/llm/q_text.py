@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vcat.llm import collide, minhash
+import public_tokenizers
+
+from vcat.llm import collide, minhash, pack
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -15,3 +17,9 @@ def op3_super_minhash(spark, sf):
 @query("op2_collision_counting")
 def op2_collision_counting(spark, sf):
     return collide.near_vectors(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), least=0.98)
+
+
+@query("op9_sum_of_squares")
+def op9_sum_of_squares(spark, sf):
+    pieces = pack.tokenize(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack.pack(pieces)
