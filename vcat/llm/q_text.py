@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from vcat.llm import collide, minhash, pack
+from vcat.llm import collide, licenses, minhash, pack
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -23,3 +23,8 @@ def op2_collision_counting(spark, sf):
 def op9_sum_of_squares(spark, sf):
     pieces = pack.tokenize(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return pack.pack(pieces)
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark, sf):
+    return licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text")).drop("places")
