@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from vcat.llm import collide, licenses, minhash, pack
+from vcat.llm import collide, licenses, minhash, ordinal, pack
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -28,3 +29,11 @@ def op9_sum_of_squares(spark, sf):
 @query("op10_license_scan")
 def op10_license_scan(spark, sf):
     return licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text")).drop("places")
+
+
+@query("op4_ordinal_quality")
+def op4_ordinal_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, table(spark, sf, "labels").withColumn("grade", ordinal.rating()))
+    out = ordinal.classify(docs, model).drop("text")
+    return out.withColumn("kept", F.col("tail") >= 0.5)
