@@ -4,8 +4,8 @@ Ratings are grades 0, 1, 2, ...; a text has one latent score, the sum of the wei
 1 / (1 + exp(score - threshold_k)). All thresholds share the weights and are kept in order. The expected grade ranks texts; the tail
 probability P(grade >= k) selects them.
 
-Features are the distinct words (A to Z lower-cased) and buckets of a few shape figures (share of capitals, marks, digits, repeated words and
-lines), hashed into ``2^bits`` places; only places seen in ``least_docs`` rated texts get a weight, so that words of one text teach nothing.
+Features are the distinct words (A to Z lower-cased) and buckets of a few shape figures (share of capitals, marks, digits, repeated words; lengths
+of words, lines, text), hashed into ``2^bits`` places; only places seen in ``least_docs`` rated texts get a weight, so that words of one text teach nothing.
 
 The fit takes at most ``most_rated`` rated documents, those with the smallest hash of their id; it is one task over that bounded sample. Scoring
 runs over all texts; the weights it broadcasts have at most ``2^bits`` entries.
@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vcat.llm.textbytes import U, WHITE, chunks, data, mix, word_hashes
+from vcat.llm.textbytes import NOT_WORD, U, WHITE, chunks, data, word_hashes
 
 BITS = 20
+#: Places at the end, for buckets of shape figures.
+SHAPES = 512
 MOST_RATED = 12_000
-LEAST_DOCS = 4
+LEAST_DOCS = 8
 _KINDS = np.zeros(256, np.int64)  # 1 capital, 2 mark, 3 digit
 _KINDS[65:91] = 1
 _KINDS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
@@ -39,9 +41,10 @@ _KINDS[48:58] = 3
 def features(raw: np.ndarray, ends: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(row, place) of the distinct features of each text."""
     n = len(ends) - 1
-    rows, h = word_hashes(raw, ends)
+    rows, h = word_hashes(raw, ends, NOT_WORD)
     count = np.bincount(rows, minlength=n)
     at = np.concatenate(([0], np.cumsum(count)))
+    again = (h[1:] == h[:-1]) & (rows[1:] == rows[:-1])
     for r in np.flatnonzero(count):
         h[at[r]:at[r + 1]].sort()
     new = np.ones(len(h), bool)
@@ -57,14 +60,17 @@ def features(raw: np.ndarray, ends: np.ndarray, bits: int = BITS) -> tuple[np.nd
     per = lambda x: np.divide(x, np.maximum(length - _in(WHITE[raw], ends), 1))
     kinds = _KINDS[raw]
     lines = np.maximum(_in(raw == 10, ends) + 1, 1)
-    shape = [per(_in(kinds == k, ends)) * 40 for k in (1, 2, 3)]
-    shape += [np.log2(count + 1), np.divide(distinct, np.maximum(count, 1) ** 0.8) * 10, np.divide(top, np.maximum(count, 1)) * 30,
-              np.divide(length, np.maximum(count, 1)), np.log2(np.divide(count, lines) + 1)]
-    parts, owners = [words >> U(64 - bits)], [owner]
-    for k, x in enumerate(shape):
-        bucket = np.minimum(np.floor(x), 60).astype(U)
-        parts.append(mix(bucket + U(1000 * (k + 1)), 77) >> U(64 - bits))
-        owners.append(np.arange(n))
+    same = np.zeros(n, np.int64)  # words that repeat the one before
+    np.add.at(same, rows[1:][again], 1)
+    words_of = np.maximum(count, 1)
+    shape = [*(per(_in(kinds == k, ends)) for k in (1, 2, 3)), top / words_of, 1 - distinct / words_of, same / words_of, 0.01 * length / words_of,
+             0.002 * count / lines, 1e-4 * count]
+    parts, owners = [words % U((1 << bits) - SHAPES)], [owner]
+    for k, x in enumerate(shape):  # a place for each power of two that the figure reaches
+        level = np.clip(np.floor(np.log2(np.maximum(x, 1e-9)) + 10), 0, 16).astype(np.int64)
+        steps = np.concatenate([np.arange(v + 1) for v in level]) if n else level
+        parts.append(steps.astype(U) + U((1 << bits) - SHAPES + 32 * k))
+        owners.append(np.repeat(np.arange(n), level + 1))
     place, owner = np.concatenate(parts).astype(np.int64), np.concatenate(owners)
     both = np.unique(owner << bits | place)
     return both >> bits, both & ((1 << bits) - 1)
@@ -80,36 +86,57 @@ def _probabilities(score: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(score[:, None] - cuts[None], -40, 40)))
 
 
-def fit(rows: np.ndarray, places: np.ndarray, grades: np.ndarray, rounds: int = 150, rate: float = 0.1, penalty: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
-    """Weights by place, thresholds. ``places`` count from 0 without gaps; rows ascending. Whole-sample gradient steps with adaptive sizes."""
-    n, top = len(grades), int(grades.max())
-    share = np.array([(grades <= k).mean() for k in range(top)])
-    share = np.clip(share, 1 / (2 * n), 1 - 1 / (2 * n))
+def _loss(p: np.ndarray, width: int, rows: np.ndarray, places: np.ndarray, grades: np.ndarray, scale: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """Negative log likelihood plus penalty, and its slope. ``p``: weights, the first threshold, logarithms of the steps to the others."""
+    n, line = len(grades), np.arange(len(grades))
+    w, free = p[:width], p[width:]
+    cuts = np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+    c = _probabilities(np.bincount(rows, weights=(w * scale)[places], minlength=n), cuts)
+    c = np.concatenate((np.zeros((n, 1)), c, np.ones((n, 1))), axis=1)
+    slope = c * (1 - c)
+    hi, lo = slope[line, grades + 1], slope[line, grades]
+    mass = np.maximum(c[line, grades + 1] - c[line, grades], 1e-12)
+    by_cut = np.zeros((n, len(cuts) + 2))
+    by_cut[line, grades + 1] -= hi / mass
+    by_cut[line, grades] += lo / mass
+    later = np.cumsum(by_cut[:, 1:-1].sum(axis=0)[::-1])[::-1]
+    by_weight = np.bincount(places, weights=((hi - lo) / mass)[rows], minlength=width) * scale + penalty * w
+    return -np.log(mass).sum() + penalty / 2 * (w @ w), np.concatenate((by_weight, later[:1], later[1:] * np.exp(free[1:])))
+
+
+def fit(rows: np.ndarray, places: np.ndarray, grades: np.ndarray, scale: np.ndarray, penalty: float = 0.5, rounds: int = 80, memory: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by place, thresholds. ``places`` count from 0 without gaps; ``scale``: how much a place may say. Limited-memory quasi-Newton steps on the whole sample."""
+    n, top, width = len(grades), int(grades.max()), int(places.max()) + 1
+    share = np.clip([(grades <= k).mean() for k in range(top)], 1 / (2 * n), 1 - 1 / (2 * n))
     start = np.log(share / (1 - share))
-    p = np.concatenate((np.zeros(places.max() + 1), [start[0]], np.log(np.maximum(np.diff(start), 1e-3))))
-    width = len(p) - top
-    first, second = np.zeros_like(p), np.zeros_like(p)
-    for t in range(1, rounds + 1):
-        w, free = p[:width], p[width:]
-        cuts = np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
-        score = np.bincount(rows, weights=w[places], minlength=n)
-        c = np.concatenate((np.zeros((n, 1)), _probabilities(score, cuts), np.ones((n, 1))), axis=1)
-        slope = c * (1 - c)
-        line = np.arange(n)
-        hi, lo = c[line, grades + 1], c[line, grades]
-        mass = np.maximum(hi - lo, 1e-9)
-        by_score = (slope[line, grades + 1] - slope[line, grades]) / mass  # of the loss
-        by_cut = np.zeros((n, top + 2))
-        by_cut[line, grades + 1] -= slope[line, grades + 1] / mass
-        by_cut[line, grades] += slope[line, grades] / mass
-        by_cut = by_cut[:, 1:-1].sum(axis=0) / n
-        later = np.cumsum(by_cut[::-1])[::-1]
-        gw = np.bincount(places, weights=by_score[rows], minlength=width) / n + penalty / n * w
-        g = np.concatenate((gw, later[:1], later[1:] * np.exp(free[1:])))
-        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
-        p -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+    p = np.concatenate((np.zeros(width), [start[0]], np.log(np.maximum(np.diff(start), 1e-3))))
+    loss, g = _loss(p, width, rows, places, grades, scale, penalty)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        d, alphas = g.copy(), []
+        for s, y, r in reversed(past):
+            alphas.append(r * (s @ d))
+            d -= alphas[-1] * y
+        d *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.abs(g).sum() ** 0.5)
+        for (s, y, r), alpha in zip(past, reversed(alphas)):
+            d += (alpha - r * (y @ d)) * s
+        step = 1.0
+        while step > 1e-6:
+            q = p - step * d
+            after, h = _loss(q, width, rows, places, grades, scale, penalty)
+            if np.isfinite(after) and after <= loss - 1e-4 * step * (g @ d):
+                break
+            step /= 2
+        else:
+            break
+        if (h - g) @ (q - p) > 1e-10:
+            past = [*past[1 - memory:], (q - p, h - g, 1 / ((h - g) @ (q - p)))]
+        done = loss - after < 1e-5 * loss
+        p, loss, g = q, after, h
+        if done:
+            break
     free = p[width:]
-    return p[:width], np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+    return p[:width] * scale, np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
 
 
 def _featurize(bits: int):
@@ -125,7 +152,12 @@ def _featurize(bits: int):
     return run
 
 
-def _train(least_docs: int):
+def rarity(docs: np.ndarray, n: int, shape: np.ndarray) -> np.ndarray:
+    """Places of words count by how rare they are, so that the common words of long texts don't add up; those of shape count whole."""
+    return np.where(shape, 1.0, np.log(n / docs) / np.log(n))
+
+
+def _train(least_docs: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [b for b in batches if b.num_rows]
         if not kept:
@@ -136,10 +168,10 @@ def _train(least_docs: int):
         rows = np.repeat(np.arange(len(t)), np.asarray(lists.value_lengths()))
         seen, at, docs = np.unique(places, return_inverse=True, return_counts=True)
         good = docs[at] >= least_docs
-        seen, at = np.unique(places[good], return_inverse=True)
+        seen, at, docs = np.unique(places[good], return_inverse=True, return_counts=True)
         if not len(seen) or not grades.max():
             return
-        weights, cuts = fit(rows[good], at, grades)
+        weights, cuts = fit(rows[good], at, grades, rarity(docs, len(t), seen >= (1 << bits) - SHAPES))
         yield pa.RecordBatch.from_arrays([pa.array([seen.astype(np.int32)]), pa.array([weights]), pa.array([cuts])], ["places", "weights", "cuts"])
 
     return run
@@ -151,7 +183,7 @@ def train(docs: DataFrame, ratings: DataFrame, bits: int = BITS, most_rated: int
     sample = F.broadcast(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rated))  # the bound of the sample
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id").select("doc_id", "text", "grade")
     found = texts.mapInArrow(_featurize(bits), "doc_id long, grade int, places array<int>").repartition(1)
-    got = found.mapInArrow(_train(least_docs), "places array<int>, weights array<double>, cuts array<double>").collect()
+    got = found.mapInArrow(_train(least_docs, bits), "places array<int>, weights array<double>, cuts array<double>").collect()
     if not got:
         return {"bits": bits, "places": np.zeros(0, np.int64), "weights": np.zeros(0), "cuts": np.array([-40.0])}
     return {"bits": bits, "places": np.array(got[0]["places"], np.int64), "weights": np.array(got[0]["weights"]), "cuts": np.array(got[0]["cuts"])}
@@ -185,5 +217,5 @@ def classify(docs: DataFrame, model: dict, at_least: int = 2) -> DataFrame:
 
 
 def rating() -> Column:
-    """Grade of a row of labels: 0 poor, 1 well written but toxic, 2 clean."""
-    return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    """Grade of a row of labels: 0 toxic, 1 poor, 2 clean."""
+    return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
