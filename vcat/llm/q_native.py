@@ -1,10 +1,11 @@
-"""Queries of the operators that are built-in Spark functions throughout: fixity audit, chat formatting, URL filters, resharding."""
+"""Queries of the operators that are built-in Spark functions throughout: fixity audit, chat
+formatting, URL filters, decontamination, resharding."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vcat.llm import chat, fixity, reshard, urlfilter
+from vcat.llm import chat, fixity, reshard, templates, urlfilter
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -84,3 +85,8 @@ def op8_reshard(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS)).alias("old_shard"))
     plan = reshard.reshard_plan(docs, SHARDS)
     return plan.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+@query("op7_template_decontamination")
+def op7_template_decontamination(spark, sf):
+    return templates.judge(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
