@@ -113,6 +113,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5)
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5) -> DataFrame:
     """``docs`` without those that leak an item."""
     leaks = find_leaks(docs.select("doc_id", "text"), benchmark, width, least).filter("leaks").select("doc_id", "text_hash").distinct()
+    leaks = settle(leaks, "leaks")
     key = free_name(docs, "_text_hash")
     mine = docs.withColumn(key, F.xxhash64("text"))
     gone = leaks.toDF("_leak_id", "_leak_hash")
