@@ -120,10 +120,11 @@ def reshard_plan(docs: DataFrame, shards: int, capacity: list[int] | None = None
 
 
 def reshard(docs: DataFrame, out: str, shards: int, capacity: list[int] | None = None) -> None:
-    """Write the affected rows below ``out``, a folder for each new shard and old shard it takes from: rows that stay are
+    """Write the affected rows below ``out``, a folder for each new shard and old shard (-1: none) it takes from: rows that stay are
     rewritten only where rows leave their shard. ``doc_id`` has to be a key here."""
     plan = reshard_plan(docs, shards, capacity).select("doc_id", F.col("old_shard").alias("_from"), "shard", "slot")
-    leaves = plan.groupBy("_from").agg(F.max((~F.col("_from").eqNullSafe(F.col("shard"))).cast("int")).alias("_leaves"))
-    moved = plan.join(leaves, plan["_from"].eqNullSafe(leaves["_from"])).filter("_leaves = 1").select("doc_id", plan["_from"], "shard", "slot")
+    plan = plan.withColumn("_from", F.coalesce("_from", F.lit(-1)))
+    leaves = plan.groupBy("_from").agg(F.max((F.col("_from") != F.col("shard")).cast("int")).alias("_leaves"))
+    moved = plan.join(leaves, "_from").filter("_leaves = 1").select("doc_id", "_from", "shard", "slot")
     keep = docs.drop(*(c for c in docs.columns if c.lower() in ("shard", "slot", "_from", "old_shard")))
     keep.join(moved, "doc_id").repartition("shard", "_from").write.partitionBy("shard", "_from").parquet(out)
