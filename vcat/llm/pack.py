@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from vcat.llm.common import settle
 
 SEQUENCE, END_ID = 2048, 0
 #: Parts of texts whose ids a task keeps.
-KNOWN = 600_000
+KNOWN = 1_000_000
 BLOCK = 8192
 #: A block's sequences with less than this share of tokens are packed again.
 GOOD = 0.98
@@ -42,9 +41,11 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, by parts."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)  # for words that need no more than a split at white space
+        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         size = self.tokenizer.get_vocab_size()
         self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.known: dict[bytes, bytes] = {}
@@ -53,19 +54,19 @@ class Encoder:
     def _one(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, parts: list[bytes], tokens: np.ndarray) -> list[bytes]:
-        """Ids of parts that are letters and then, maybe, marks: many at once. Every run of letters or of marks ends in an id that shows it."""
-        out = []
-        for i in range(0, len(parts), 4000):
-            some = parts[i:i + 4000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+    def _words(self, tokenizer, parts: list[bytes], runs: list[int]) -> list[bytes]:
+        """Ids of parts that are ``runs`` runs of letters or marks each: many at once. Every run ends in an id that shows it."""
+        out, step = [], 300
+        groups = [parts[i:i + step] for i in range(0, len(parts), step)]
+        for k, found in enumerate(tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
-            runs = np.cumsum(tokens[i:i + 4000])
-            if len(ends) == runs[-1]:
-                raw, at = ids.tobytes(), [0, *(ends[runs - 1] * 4).tolist()]
+            last = np.cumsum(runs[k * step:k * step + step]) - 1
+            if len(ends) == last[-1] + 1:
+                raw, at = ids.tobytes(), [0, *(ends[last] * 4).tolist()]
                 out += [raw[x:y] for x, y in zip(at, at[1:])]
             else:
-                out += self._one([w.decode() for w in some])
+                out += self._one([w.decode() for w in groups[k]])
         return out
 
     def learn(self, parts: set[bytes]) -> None:
@@ -76,13 +77,21 @@ class Encoder:
             new = parts - self.known.keys()
         else:
             self.again |= parts - new
-        new = list(new)
-        stems = [w.rstrip(_MARKS) for w in new]
-        plain = [s.isalpha() or s.decode().isalpha() for s in stems]
-        words = list(compress(new, plain))
-        runs = np.array([1 + (len(w) != len(s)) for w, s in zip(words, compress(stems, plain))], np.int64)
-        self.known.update(zip(words, self._words(words, runs)))
-        rest = [w for w, p in zip(new, plain) if not p]
+        ascii_parts, ascii_runs, parts_as, other, other_runs, rest = [], [], [], [], [], []
+        for w in new:
+            stem = w.rstrip(_MARKS)
+            run = 1 if len(stem) == len(w) else 2
+            if stem.isalpha():
+                parts_as.append(w)
+                ascii_parts.append(stem.lower() if run == 1 else stem.lower() + b" " + w[len(stem):])
+                ascii_runs.append(run)
+            elif stem.decode().isalpha():
+                other.append(w)
+                other_runs.append(run)
+            else:
+                rest.append(w)
+        self.known.update(zip(parts_as, self._words(self.bare, ascii_parts, ascii_runs)))
+        self.known.update(zip(other, self._words(self.tokenizer, other, other_runs)))
         self.known.update(zip(rest, self._one([w.decode() for w in rest])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
