@@ -6,11 +6,11 @@ as all its places hold less than the next step would offer; ranks within one per
 
 1. Texts with equal shingle sets are one class, held by its smallest id.
 2. Signatures are cut into bands; classes that share a band are candidates. All members of a bucket are first compared with its
-   smallest one, which costs as many pairs as members, and linked groups are found.
-3. Then only members of one bucket that are still in different groups are compared. Pairs inside a group could not change it, so no
-   link between different texts is lost and no large group of copies is expanded into its pairs.
-4. A candidate whose signatures agree in too few places to have the similarity sought (six standard deviations below) is dropped; every
-   other one is verified on the full shingle sets of whole texts.
+   most central one (that with the largest buckets), which costs as many pairs as members, and linked groups are found.
+3. Then members of one bucket that are still in different groups are compared, a large bucket in blocks of bounded size. Pairs inside
+   a group could not change it, so no link between different texts is lost and no large group of copies is expanded into its pairs.
+4. A pair is dropped if its signatures agree in too few places to have the similarity sought (six standard deviations below), or if
+   counts of its shingles by cell show that the sets can't share enough; every other one is verified on the full shingle sets of whole texts.
 
 With 96 places in 24 bands of 4, a pair at similarity 0.8 shares no band with a chance of 3e-6.
 
@@ -32,6 +32,8 @@ from vcat.llm.components import connected_components
 from vcat.llm.textbytes import U, chunks, data, mix, shingle_sets
 
 PLACES, BANDS = 96, 24
+#: Cells that a set's shingles are counted in; members of a bucket that are compared at once.
+CELLS, BLOCK = 256, 512
 _NONE = U(0xFFFFFFFFFFFFFFFF)
 _LOW = U(0xFFFFFFFF)
 
@@ -91,17 +93,20 @@ def _sign(k: int, m: int, bands: int):
                         h = mix(h * U(0x2545F4914F6CDD1D) ^ sig[:, p])
                     keys[:, b] = h
                 short = (sig & U(255)).astype(np.uint8)
+                cells = np.bincount(rows * CELLS + (s >> U(56)).astype(np.int64), minlength=n * CELLS).reshape(n, CELLS)
+                cells = np.minimum(cells, 255).astype(np.uint8)
                 full_bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, n), pa.array(size.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), full_bands,
-                     pa.array([x.tobytes() for x in short], pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "bands", "sig"])
+                     pa.array([x.tobytes() for x in short], pa.binary()), pa.array([x.tobytes() for x in cells], pa.binary())],
+                    ["doc_id", "n_shingles", "f1", "f2", "bands", "sig", "cells"])
 
     return run
 
 
 def signatures(docs: DataFrame, k: int, m: int = PLACES, bands: int = BANDS) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2`` (fingerprint of the set)``, bands, sig`` (low bytes of the signature)."""
-    schema = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary"
+    """``doc_id, n_shingles, f1, f2`` (fingerprint of the set)``, bands, sig`` (low bytes of the signature)``, cells`` (shingles by cell)."""
+    schema = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary, cells binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign(k, m, bands), schema)
 
 
@@ -116,6 +121,33 @@ def _likely(least: int):
     return run
 
 
+def _across(least: int, percent: int):
+    """Pairs of one block that could be links: of different groups, first met in this band, close by signature and by cells."""
+    def run(block: pa.Table) -> pa.Table:
+        n = block.num_rows
+        ids, group, size, part = (block[c].to_numpy() for c in ("rep", "group", "n_shingles", "part"))
+        lo, hi = block["lo"][0].as_py(), block["hi"][0].as_py()
+        bands = block["bands"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+        sig, cells = (np.frombuffer(b"".join(block[c].to_pylist()), np.uint8).reshape(n, -1) for c in ("sig", "cells"))
+        earlier = bands[:, :int(np.flatnonzero(bands[0] == block["band"][0].as_py())[0])]
+        right = np.flatnonzero(part == hi)
+        found_a, found_b = [], []
+        for i in np.flatnonzero(part == lo).tolist():
+            at = right[(group[right] != group[i]) & (100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i]))]
+            if lo == hi:
+                at = at[at > i]
+            at = at[(sig[at] == sig[i]).sum(axis=1) >= least]
+            at = at[~(earlier[at] == earlier[i]).any(axis=1)]
+            shared = np.minimum(cells[at], cells[i]).sum(axis=1, dtype=np.int64)
+            full = (cells[at].max(axis=1, initial=0) == 255) | (cells[i].max() == 255)
+            at = at[full | (100 * shared >= percent * (size[at] + size[i] - shared))]
+            found_a.append(np.minimum(ids[at], ids[i]))
+            found_b.append(np.maximum(ids[at], ids[i]))
+        return pa.table({"a": np.concatenate([*found_a, ids[:0]]), "b": np.concatenate([*found_b, ids[:0]])})
+
+    return run
+
+
 def _verify(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,13 +180,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, m: int = PLA
     """A row per document: ``doc_id, n_shingles, component_id, kept``. Links join sets with 100 * intersection >= percent * union."""
     signed = settle(signatures(docs, k, m, bands), "signed")
     classes = settle(signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "f1", "f2").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("cells").alias("cells")), "classes")
     s = percent / 100
     least = max(0, int(m * s - 6 * (m * s * (1 - s)) ** 0.5))
 
     members = classes.select("rep", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).filter("first < last").select("band", "first")
+    shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = settle(members.join(shared, "band"), "members")
+    central = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    first = members.join(central, "rep").groupBy("band").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("first"))
     sigs = classes.select("rep", "sig")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi")
     texts = settle(texts, "texts")
@@ -168,15 +202,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, m: int = PLA
         both = likely.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
         return settle(both.mapInArrow(_verify(k, percent), "a long, b long").distinct(), "links")
 
-    stars = settle(members.select(F.col("first").alias("a"), F.col("rep").alias("b")).filter("a < b").distinct(), "stars")
+    star = members.join(first, "band").filter("rep <> first").select(F.least("first", "rep").alias("a"), F.greatest("first", "rep").alias("b"))
+    stars = settle(star.distinct(), "stars")
     links = linked(stars)
     groups = settle(connected_components(links), "groups")
     placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("group"))
-    split = placed.groupBy("band").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("band")
-    placed = settle(placed.join(split, "band", "left_semi"), "placed")
-    across = placed.select("band", F.col("rep").alias("a"), F.col("group").alias("ga")).join(
-        placed.select("band", F.col("rep").alias("b"), F.col("group").alias("gb")), "band").filter("a < b AND ga <> gb")
-    rest = across.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    split = placed.groupBy("band").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    split = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    placed = placed.join(split, "band").withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+    placed = placed.join(classes.select("rep", "n_shingles", "bands", "sig", "cells"), "rep")
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"lo": F.least("part", "other").cast("int"), "hi": F.greatest("part", "other").cast("int")}).drop("parts", "other")
+    across = dealt.groupBy("band", "lo", "hi").applyInArrow(_across(least, percent), "a long, b long")
+    rest = across.join(stars, ["a", "b"], "left_anti")
     groups = connected_components(links.unionByName(linked(rest)))
 
     held = classes.select("n_shingles", "f1", "f2", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
