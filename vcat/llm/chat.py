@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vcat.llm.common import let
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 START_RE, SEP_RE, END_RE = r"<\|im_start\|>", r"<\|im_sep\|>", "<\\|im_end\\|>\n"
 
@@ -43,8 +45,8 @@ def format_chat(conversations: DataFrame, loss_roles: tuple[str, ...] = ("assist
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
-    def piece(t: Column, i: Column) -> Column:
-        same = (i > 0) & (F.get("turns", i - 1)["role"] == t["role"])
+    def piece(all_turns: Column, t: Column, i: Column) -> Column:
+        same = (i > 0) & (F.get(all_turns, i - 1)["role"] == t["role"])
         opening = F.concat(F.when(i > 0, END).otherwise(""), F.lit(START), _escape_role(t["role"]), F.lit("\n"))
         return F.struct(F.when(same, SEP).otherwise(opening).alias("markup"), escape(t["text"]).alias("text"),
                         t["role"].isin(*loss_roles).alias("loss"))
@@ -54,7 +56,7 @@ def format_chat(conversations: DataFrame, loss_roles: tuple[str, ...] = ("assist
                        F.struct(F.char_length(p["text"]).alias("chars"), p["loss"].alias("loss")))
 
     closing = F.array(F.struct(F.lit(len(END)).alias("chars"), F.lit(False).alias("loss")))
-    pieces = turns.select("conv_id", F.transform("turns", piece).alias("pieces"))
+    pieces = turns.select("conv_id", let(F.col("turns"), lambda ts: F.transform(ts, lambda t, i: piece(ts, t, i))).alias("pieces"))
     return pieces.select(
         "conv_id",
         F.concat(F.array_join(F.transform("pieces", lambda p: F.concat(p["markup"], p["text"])), ""), F.lit(END)).alias("formatted"),
@@ -72,13 +74,13 @@ def read_chat(formatted: DataFrame) -> DataFrame:
 
     blocks = F.split("formatted", END_RE)
     found = F.flatten(F.transform(F.slice(blocks, 1, F.size(blocks) - 1), block))
-    parsed = formatted.select("conv_id", "formatted", "runs", found.alias("found"))
 
-    def with_mask(t: Column, i: Column) -> Column:
-        run = F.get("runs", 2 * i + 1)
+    def with_mask(runs: Column, t: Column, i: Column) -> Column:
+        run = F.get(runs, 2 * i + 1)
         return F.struct(t["role"].alias("role"), unescape(t["raw"]).alias("text"), (run["loss"] & (run["chars"] == F.char_length(t["raw"]))).alias("loss"))
 
-    return parsed.select("conv_id", "formatted", F.transform("found", with_mask).alias("turns"))
+    turns = let(F.col("runs"), lambda runs: F.transform(found, lambda t, i: with_mask(runs, t, i)))
+    return formatted.select("conv_id", "formatted", turns.alias("turns"))
 
 
 def chat_digest(formatted: DataFrame) -> DataFrame:
