@@ -26,6 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = ordinal.train(docs, table(spark, sf_dir, "labels").withColumn("grade", ordinal.rating()))
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c != "text"}  # a column may have the name of a result
     scored = ordinal.classify(docs.withColumnsRenamed(names), model).filter(F.col("tail") >= LEAST_TAIL)
+    scored = scored.select("text", *names.values())
     return scored.withColumnsRenamed({v: k for k, v in names.items()}).select(*(f"`{c}`" for c in docs.columns))
 
 
