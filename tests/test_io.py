@@ -7,7 +7,7 @@ from vcat.operators import harmonise as H
 from vcat.operators.manifests import DOWNLOAD_HEADER, with_header, write_manifests
 from vcat.sources import publish as P
 from vcat.sources import readers as R
-from vcat.streaming.intake import ingest_manifests
+from vcat.streaming.intake import current_instances, ingest_manifests
 
 
 def test_clinical_file_with_two_header_rows(spark, tmp_path):
@@ -83,7 +83,7 @@ def test_stream_is_repeatable(spark, tmp_path):
     put("c.tsv", [3, 4])
     run()
     run()
-    rows = spark.read.parquet(str(tmp_path / "t")).collect()
+    rows = current_instances(spark, str(tmp_path / "t")).collect()
     assert sorted(r.sop_instance_uid for r in rows) == ["1", "2", "3", "4"]
 
 
@@ -92,4 +92,7 @@ def test_scratch_follows_the_cluster_setting():
         class conf:
             get = staticmethod(lambda key, default: {"spark.checkpoint.dir": "hdfs://shared/cp/"}.get(key, default))
 
-    assert P.scratch_dir(Session).startswith("hdfs://shared/cp/vcat-")
+        class sparkContext:  # noqa: N801
+            applicationId = "app-1"
+
+    assert P.scratch_dir(Session).startswith("hdfs://shared/cp/app-1/vcat-")

@@ -53,7 +53,7 @@ def url_part(c, i: int) -> Column:
 
 def url_rest(c) -> Column:
     """The object name: what follows ``scheme://bucket/``."""
-    return F.array_join(F.slice(F.split(_c(c), "/"), 4, 1 << 20), "/")
+    return F.substr(_c(c), F.char_length(F.substring_index(_c(c), "/", 3)) + 2)
 
 
 def norm_url(c, bucket: str, subdir: str | None = None) -> Column:

@@ -151,8 +151,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return best.select(*keys, "_r.*").select(*df.columns)
 
 
-def auxiliary(df: DataFrame, licenses: DataFrame, newest: DataFrame, target: str, version: int, merged: bool = False) -> DataFrame:
-    """The published per-instance table: renamed columns, urls, licence and versioned DOI."""
+def auxiliary(df: DataFrame, licenses: DataFrame, newest: DataFrame, target: str, version: int, merged: bool = False,
+              without_doi: tuple[str, ...] = ("APOLLO",)) -> DataFrame:
+    """The published per-instance table: renamed columns, urls, licence and versioned DOI. Collections in
+    ``without_doi`` are published with a blank one."""
     bucket = bucket_for(target, version, merged)
     j = (df.drop("versioned_source_doi").join(licenses.select("source_doi", "license_url", "license_long_name", "license_short_name"), "source_doi")
          .join(newest, "source_doi"))
@@ -169,7 +171,7 @@ def auxiliary(df: DataFrame, licenses: DataFrame, newest: DataFrame, target: str
         col("series_instance_uid").alias("SeriesInstanceUID"), col("se_uuid").alias("series_uuid"),
         object_url("gs", bucket, "se_uuid").alias("series_gcs_url"),
         object_url("s3", "pub_aws_bucket", "se_uuid").alias("series_aws_url"),
-        F.when(col("collection_id") == "APOLLO", "").otherwise(col("source_doi")).alias("Source_DOI"),
+        F.when(col("collection_id").isin(*without_doi), "").otherwise(col("source_doi")).alias("Source_DOI"),
         col("source_url").alias("Source_URL"), "versioned_source_doi", "series_instances",
         col("se_hashes.all").alias("series_hash"), col("se_init_version").alias("series_init_version"),
         col("se_rev_version").alias("series_revised_version"), col("se_final_version").alias("series_final_version"),

@@ -144,27 +144,57 @@ def classify(prev: DataFrame, src: DataFrame, key: list[str], skip: DataFrame |
               .when(_any([F.col(f"revised.{x}") for x in SOURCES]), "revised")
               .when(renamed, "renamed")
               .otherwise("unchanged"))
+    # a skipped source can't be asked, so it keeps what it had; of the others the offer holds, also where it is gone
+    per_source = {x: (F.when(F.col(f"_skip.{x}"), F.coalesce(f"_old.hashes.{x}", F.lit(""))).otherwise(F.coalesce(f"_new.hashes.{x}", F.lit(""))),
+                      F.when(F.col(f"_skip.{x}"), flag("_old.sources", x)).otherwise(flag("_new.sources", x))) for x in SOURCES}
+    more = [f.name for f in prev.schema["hashes"].dataType.fields if f.name not in SOURCES]
+    hashes = F.struct(*[per_source[x][0].alias(x) for x in SOURCES], *[F.coalesce(f"_new.hashes.{x}", f"_old.hashes.{x}").alias(x) for x in more])
+    has = F.struct(*[per_source[x][1].alias(x) for x in SOURCES])
+    gone = F.col("status") == "retired"
     out = j.withColumn("status", status).filter("status IS NOT NULL")
     names = [F.coalesce(F.col(f"_new.{name}"), F.col(f"_old.{name}")).alias(name)] if name else []
     return out.select(
         *key, *names, "status", "revised", F.col("_old.uuid").alias("old_uuid"),
         F.col("_old.init_version").alias("old_init"),
-        F.coalesce("_new.hashes", "_old.hashes").alias("hashes"),
-        F.coalesce("_new.sources", "_old.sources").alias("sources"))
+        F.when(gone, F.col("_old.hashes")).otherwise(hashes).alias("hashes"),
+        F.when(gone, F.col("_old.sources")).otherwise(has).alias("sources"))
 
 
-def apply_version(level: DataFrame, classified: DataFrame, key: list[str], name: str, version: int) -> DataFrame:
+#: Attributes that a new object has from the start.
+NEW_OBJECT = {"excluded": False, "redacted": False}
+
+
+def apply_version(level: DataFrame, classified: DataFrame, key: list[str], name: str, version: int,
+                  offered: DataFrame | None = None) -> DataFrame:
     """Rows of the level after the version: revised and retired rows are closed at ``version - 1``,
-    new and revised objects get a row, unchanged rows stay as they are."""
+    new and revised objects get a row, unchanged rows stay as they are.
+
+    A revised object keeps all attributes of its old row but those that ``offered`` brings (key and
+    any of the level's attributes; null: not offered). New objects are neither excluded nor redacted.
+    """
     closing = classified.filter(F.col("status").isin("revised", "retired", "renamed")).select(
         F.col("old_uuid").alias("uuid"), F.lit(True).alias("_close"))
     kept = level.join(closing, "uuid", "left").withColumn(
         "final_version", F.when(F.col("_close"), F.lit(version - 1)).otherwise(F.col("final_version"))).drop("_close")
-    born = classified.filter(F.col("status").isin("new", "revised", "renamed")).withColumns({
-        "uuid": uuid_of(name, F.concat_ws("|", *key), F.lit(version)),
-        "init_version": F.coalesce("old_init", F.lit(version)),
-        "rev_version": F.lit(version), "final_version": F.lit(LIVE)})
-    return kept.unionByName(born.select(*[c for c in level.columns if c in born.columns]), allowMissingColumns=True)
+    managed = {"uuid": uuid_of(name, F.concat_ws("|", *key), F.lit(version)), "init_version": F.coalesce("old_init", F.lit(version)),
+               "rev_version": F.lit(version), "final_version": F.lit(LIVE)}
+    born = classified.filter(F.col("status").isin("new", "revised", "renamed"))
+    given = [c for c in born.columns if c in level.columns and c not in managed]
+    carried = [c for c in level.columns if c not in managed and c not in given]
+    if carried:
+        born = born.join(level.select(F.col("uuid").alias("old_uuid"), F.struct(*carried).alias("_old")), "old_uuid", "left")
+    brought = [c for c in carried if offered is not None and c in offered.columns]
+    if brought:
+        born = born.join(offered.select(*key, F.struct(*brought).alias("_offer")), key, "left")
+
+    def value(c: str) -> Column:
+        if c in managed or c in given:
+            return managed.get(c, F.col(c)).alias(c)
+        first = [F.col(f"_offer.{c}")] if c in brought else []
+        rest = [F.lit(NEW_OBJECT[c])] if c in NEW_OBJECT else []
+        return F.coalesce(*first, F.col(f"_old.{c}"), *rest).alias(c)
+
+    return kept.unionByName(born.select(*[value(c) for c in level.columns]))
 
 
 def clone_version(edges: DataFrame, version: int) -> DataFrame:

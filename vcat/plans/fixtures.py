@@ -20,19 +20,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-SMALL = 256 << 20
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A small table sits in one or two file splits, so that one or two cores would do all the hashing.
-    Spread it by its key over the cores. The size is checked: a table beyond ``SMALL`` bytes has enough
-    splits of its own and is not shuffled for this."""
-    if not hasattr(df, "_jdf"):  # no size estimate over Spark Connect
-        return df
-    size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size < SMALL else df
-
-
 def ts_sql(rev: str = "rev_version") -> str:
     return f"CAST(CASE WHEN {rev} = 1 THEN '{TIMESTAMPS[1]}' ELSE '{TIMESTAMPS[2]}' END AS TIMESTAMP_NTZ)"
 
@@ -53,7 +40,7 @@ _ITEMS = (
 
 
 def items(spark, sf) -> DataFrame:
-    return spread(table(spark, sf, "lineitem"), "l_orderkey").selectExpr(*_ITEMS)
+    return table(spark, sf, "lineitem").selectExpr(*_ITEMS)
 
 
 def content_sql(rev: str) -> str:
@@ -82,7 +69,7 @@ def instance_versions(spark, sf) -> DataFrame:
 
 
 def series_versions(spark, sf) -> DataFrame:
-    return _spans(spread(table(spark, sf, "orders"), "o_orderkey"), "(o_orderkey % 10 <> 7)", "(o_orderkey % 10 <> 3)", "(o_orderkey % 10 IN (1, 5))")
+    return _spans(table(spark, sf, "orders"), "(o_orderkey % 10 <> 7)", "(o_orderkey % 10 <> 3)", "(o_orderkey % 10 IN (1, 5))")
 
 
 def upper_versions(spark, sf, name) -> DataFrame:

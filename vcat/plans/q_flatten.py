@@ -227,7 +227,7 @@ _DEVB = "CASE WHEN se_rev = 2 THEN 'v2_' || i_source || '_' || lower(replace(col
 def aux(spark, sf, target="pub"):
     """The current public rows feed both the DOI look-up and the table itself: joined once, read twice."""
     cur = settle(current(spark, sf))
-    return FL.auxiliary(cur, fx.license_lookup(spark), FL.newest_versioned_doi(cur), target, fx.LAST)
+    return FL.auxiliary(cur, fx.license_lookup(spark), settle(FL.newest_versioned_doi(cur)), target, fx.LAST)
 
 
 @query("j6_auxiliary", with_("current_rows", "licenses", extra=_NEWEST) + _aux_sql("pub_gcs_bucket"))

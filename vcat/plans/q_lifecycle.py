@@ -110,11 +110,36 @@ def v4(spark, sf):
 
 
 @query("v5_v6_apply_version", with_("inst") + f"""SELECT sop, {uuid('instance', "l_orderkey || '|' || sop", 'i_rev')} AS uuid,
-  i_init AS init_version, i_rev AS rev_version, i_final AS final_version FROM inst""")
+  i_init AS init_version, i_rev AS rev_version, i_final AS final_version, CASE WHEN i_rev = 2 THEN size + 1 ELSE size END AS size,
+  i_init = 1 AND excluded AS excluded, false AS redacted, CASE WHEN i_init = 1 THEN '10.5281/d.' || l_orderkey END AS source_doi, hash AS content,
+  source = 'src_a' AS from_a FROM inst""")
 def v5(spark, sf):
-    level = stored(spark, sf)
+    """Attributes of the old row are kept, those of the offer (sizes) replace them."""
+    own = fx.items(spark, sf)
+    attributes = own.select("sop", "size", "excluded", F.lit(False).alias("redacted"), F.concat(F.lit("10.5281/d."), "l_orderkey").alias("source_doi"))
+    level = stored(spark, sf).join(attributes, "sop")
     status = L.classify(level, offered(spark, sf, 2), KEY)
-    return L.apply_version(level, status, KEY, "instance", 2).select("sop", "uuid", "init_version", "rev_version", "final_version")
+    sizes = own.filter("p2").select(*KEY, (F.col("size") + 1).alias("size"))
+    out = L.apply_version(level, status, KEY, "instance", 2, sizes)
+    content_of = F.concat("hashes.src_a", "hashes.src_b").alias("content")
+    return out.select("sop", "uuid", "init_version", "rev_version", "final_version", "size", "excluded", "redacted", "source_doi", content_of, F.col("sources.src_a").alias("from_a"))
+
+
+@query("v5_skipped_sources", """SELECT o_orderkey, CASE WHEN NOT sa AND (n % 2 = 0 OR n % 3 = 0) OR NOT sb AND n % 3 <> 1 THEN 'revised' ELSE 'unchanged' END AS status,
+  CASE WHEN NOT sa AND n % 2 = 0 THEN 'A2' WHEN NOT sa AND n % 3 = 0 THEN '' ELSE 'A1' END AS src_a, CASE WHEN NOT sb AND n % 3 = 0 THEN 'B2' WHEN NOT sb AND n % 3 = 2 THEN '' ELSE 'B1' END AS src_b,
+  sa OR n % 2 = 0 OR n % 3 <> 0 AS in_a, sb OR n % 3 <> 2 AS in_b
+FROM (SELECT o_orderkey, o_orderkey % 6 AS n, o_orderkey % 7 = 0 AS sa, o_orderkey % 11 = 0 AS sb FROM orders)""")
+def v5_skipped(spark, sf):
+    """Both sources hold every object; each offers new content, the old one or nothing, and either may be skipped."""
+    o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 6).alias("n"))
+    both = lambda a, b: F.struct(a.alias("src_a"), b.alias("src_b"))
+    prev = o.select("o_orderkey", F.col("o_orderkey").cast("string").alias("uuid"), F.lit(1).alias("init_version"), both(F.lit("A1"), F.lit("B1")).alias("hashes"),
+                    both(F.lit(True), F.lit(True)).alias("sources"))
+    a = F.when(F.col("n") % 2 == 0, "A2").when(F.col("n") % 3 != 0, "A1")
+    b = F.when(F.col("n") % 3 == 0, "B2").when(F.col("n") % 3 == 1, "B1")
+    src = o.select("o_orderkey", both(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))).alias("hashes"), both(a.isNotNull(), b.isNotNull()).alias("sources"))
+    out = L.classify(prev, src, ["o_orderkey"], skips(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"])
+    return out.select("o_orderkey", "status", "hashes.src_a", "hashes.src_b", F.col("sources.src_a").alias("in_a"), F.col("sources.src_b").alias("in_b"))
 
 
 def _ser_level(spark, sf):

@@ -56,8 +56,10 @@ def redacted_series(spark, sf):
                           ("series", "instance"), ("se", "i"), "m1")
 
 
-_LINK = "(se_rev <= i_final OR i_final = 0) AND (i_rev <= se_final OR se_final = 0)"
-_SM = f"""pairs AS (SELECT ser.*, inst.hash AS ihash, inst.red FROM ser JOIN inst ON l_orderkey = o_orderkey AND {_LINK}),
+# a series and its instances are linked where both are alive in one of the two versions
+_SM = f"""alive_s AS (SELECT v, ser.* FROM ser JOIN (VALUES (1), (2)) t(v) ON se_rev <= v AND (v <= se_final OR se_final = 0)),
+alive_i AS (SELECT v, inst.* FROM inst JOIN (VALUES (1), (2)) t(v) ON i_rev <= v AND (v <= i_final OR i_final = 0)),
+pairs AS (SELECT DISTINCT s.* EXCLUDE (v), i.i_uuid, i.hash AS ihash, i.red FROM alive_s s JOIN alive_i i ON l_orderkey = o_orderkey AND s.v = i.v),
 hit AS (SELECT se_uuid, bool_and(red) AS red, {merkle("CASE WHEN red THEN '' ELSE ihash END")} AS h FROM pairs GROUP BY 1 HAVING bool_or(red)),
 sm AS (SELECT ser.*, coalesce(hit.red, false) AS red, hit.se_uuid IS NOT NULL AS hit,
   CASE WHEN hit.se_uuid IS NULL THEN md5('series|' || o_orderkey || '|' || se_rev) WHEN o_orderkey % 2 = 0 THEN hit.h ELSE '' END AS src_a,

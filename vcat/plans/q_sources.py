@@ -12,7 +12,7 @@ from vcat.plans.oracle import content, with_
 from vcat.plans.registry import query
 from vcat.sources import publish as P
 from vcat.sources import readers as R
-from vcat.streaming.intake import ingest_manifests
+from vcat.streaming.intake import current_instances, ingest_manifests
 
 
 def manifest_rows(spark, sf):
@@ -185,7 +185,21 @@ def t1(spark, sf):
     put(k % 2 == 0)
     put(k % 2 == 1)
     run()
-    return spark.read.parquet(f"{base}/table")
+    return current_instances(spark, f"{base}/table")
+
+
+@query("t1_ingest_updates", with_("items") + "SELECT sop AS sop_instance_uid, CASE WHEN l_orderkey % 2 = 0 THEN 'new' ELSE 'old' END AS hash FROM items")
+def t1_updates(spark, sf):
+    """A later delivery brings new content for half of the instances."""
+    base = P.scratch_dir(spark)
+    rows = manifest_rows(spark, sf)
+    put = lambda df, h: df.withColumn("hash", F.lit(h)).write.mode("append").csv(f"{base}/in", sep="\t", header=True)
+    run = lambda: ingest_manifests(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    put(rows, "old")
+    run()
+    put(rows.filter(F.col("series_instance_uid").substr(4, 20).cast("bigint") % 2 == 0), "new")
+    run()
+    return current_instances(spark, f"{base}/table").select("sop_instance_uid", "hash")
 
 
 @query("q11_hash_check", f"WITH {_FILES} SELECT bucket AS url, md5(hash) AS md5, hash AS found_md5 FROM files WHERE CAST(bucket AS INTEGER) % 2 = 0")

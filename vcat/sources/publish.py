@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,9 +11,11 @@ from pyspark.sql import types as T
 
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for intermediate results: below the shared folder the cluster names in
-    ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
+    ``spark.checkpoint.dir``, or below the session's warehouse where that is unset. It lies in a folder of the application, which
+    can be removed with it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/vcat-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="vcat-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/vcat-{uuid.uuid4().hex}"
 
 
 def scratch_db(spark: SparkSession, name: str) -> str:

@@ -151,5 +151,7 @@ def jdbc_ready(df: DataFrame) -> tuple[DataFrame, str]:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> None:
-    ready, _ = jdbc_ready(df)
+    """Integers are widened to 64 bits and nested columns become JSON text; the driver's dialect does the rest."""
+    ready = jdbc_ready(df)[0]
+    ready = ready.withColumns({f.name: F.col(f.name).cast("long") for f in ready.schema.fields if f.dataType in (T.ByteType(), T.ShortType(), T.IntegerType())})
     ready.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode(mode).save()
