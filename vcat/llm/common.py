@@ -37,3 +37,8 @@ def free_name(df: DataFrame, want: str) -> str:
     while want.lower() in taken:
         want += "_"
     return want
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, whatever the optimizer does to columns that a lambda refers to."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -21,59 +21,91 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vcat.llm.common import free_name, settle
+from vcat.llm.common import free_name, let, settle
 
 #: Words that are units behind a number.
 UNITS = ("mm cm m km in ft yd mi mg g kg lb oz t ml cl l gal s sec min h hr hrs day days week weeks month months year years hour hours minute minutes second seconds "
          "meter meters metre metres mile miles foot feet inch inches yard yards gram grams kilogram kilograms pound pounds liter liters litre litres percent degrees "
          "dollar dollars euro euros cent cents usd eur gbp mph kmh kb mb gb tb hz khz mhz ghz w kw v").split()
-_TOKENS = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}\p{N}]+|[.!?:\n%$€£]"
-_STOPS = (".", "!", "?", ":", "\n")
-_SIGNS = ("%", "$", "€", "£")
-
-
-def _typed(tokens: str) -> Column:
-    """Array of (k, v): hash of the canonical token; the value of a placeholder, else null."""
-    def one(t: Column, i: Column) -> Column:
-        before = F.get(tokens, i - 1)
-        digits = F.ascii(t).between(48, 57)
-        low = F.lower(t)
-        unit = t.isin(*_SIGNS) | ((i > 0) & F.ascii(before).between(48, 57) & low.isin(*UNITS))
-        name = (low != t) & (F.upper(t) != t) & (i > 0) & ~before.isin(*_STOPS)
+_WHITE = "[ \t\n\x0b\f\r]+"
+#: Marks that don't belong to a word at either end.
+_MARKS = ".,;:!?\"'`()[]{}<>|*#&%$€£~^_=+-/\\“”‘’«»…–—"
+_STOPS = (".", "!", "?", ":")
+
+
+#: Texts in which this is not found have neither numbers nor names, so nothing but words.
+_PLACEHOLDER = r"[0-9]|[^\s.!?:]\s+\p{Lu}\p{Ll}"
+
+
+def _clean(text: Column) -> Column:
+    return F.translate(F.lower(text), _MARKS, "")
+
+
+def _literal(text: Column) -> Column:
+    """Token hashes of a text that is words throughout."""
+    return F.array_remove(F.transform(F.split(_clean(text), _WHITE), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+
+
+def _typed(text: Column) -> Column:
+    """Array of (k, v): hash of the canonical token; the value of a placeholder, else null. Words of marks alone are left out."""
+    def one(words: Column, w: Column, i: Column, low: Column) -> Column:
+        before = F.get(words, i - 1)
+        digits = low.between("0", "9\uffff")
+        unit = _clean(before).between("0", "9\uffff") & low.isin(*UNITS)
+        core = F.translate(w, _MARKS, "")
+        name = (i > 0) & (low != core) & (F.upper(core) != core) & ~F.right(before, F.lit(1)).isin(*_STOPS)
         kind = F.when(digits, F.lit("<number>")).when(unit, F.lit("<unit>")).when(name, F.lit("<name>"))
-        return F.when(~t.isin(*_STOPS), F.struct(F.xxhash64(F.coalesce(kind, low)).alias("k"), F.when(kind.isNotNull(), low).alias("v")))
+        return let(kind, lambda c: F.when(low != "", F.struct(F.xxhash64(F.coalesce(c, low)).alias("k"), F.when(c.isNotNull(), low).alias("v"))))
+
+    return let(F.split(text, _WHITE), lambda ws: F.filter(F.transform(ws, lambda w, i: let(_clean(w), lambda low: one(ws, w, i, low))), lambda x: x.isNotNull()))
+
+
+def _tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """``keep, k, v``: token hashes and placeholder values, as columns, so that each is computed once."""
+    t = F.col(text)
+    typed = df.select(*keep, text, F.when(t.rlike(_PLACEHOLDER), _typed(t)).alias("t"))
+    words = F.when(t.isNotNull(), _literal(t))
+    return typed.select(*keep, F.coalesce(F.col("t.k"), words).alias("k"), F.coalesce("t.v", F.transform(words, lambda _: F.lit(None).cast("string"))).alias("v"))
 
-    return F.filter(F.transform(tokens, one), lambda x: x.isNotNull())
 
+def _windows(tokens: DataFrame, width: int, *keep: str) -> DataFrame:
+    """``keep, pos, h``: the hash of every window of ``width`` tokens, or of all tokens where they are fewer. Hashes of two
+    windows make that of a window up to twice as long, so the work doesn't grow with the width."""
+    def longer(h: Column, have: int) -> Column:
+        if have >= width:
+            return h
+        step = min(have, width - have)
+        pairs = F.zip_with(h, F.slice(h, F.lit(step + 1), F.greatest(F.size(h), F.lit(1))), lambda x, y: F.xxhash64(x, y))
+        return let(pairs, lambda p: longer(p, have + step))
 
-def _windows(df: DataFrame, text: str, width: int, *keep: str) -> DataFrame:
-    """``keep, pos, h, slots``: every window of at most ``width`` tokens; ``slots``: (place in it, value) of its placeholders."""
-    raw = df.select(*keep, F.regexp_extract_all(F.col(text), F.lit(_TOKENS), F.lit(0)).alias("raw"))  # a column, so that it is computed once
-    typed = raw.select(*keep, _typed("raw").alias("t"))
-    split = typed.select(*keep, F.transform("t", lambda x: x["k"]).alias("k"), F.transform("t", lambda x: x["v"]).alias("v"))
-    split = split.withColumn("open", F.exists("v", lambda x: x.isNotNull()))  # texts without any placeholder need no look at their windows
-    last = F.greatest(F.size("k") - width, F.lit(0))
+    n = F.size("k")
+    full = F.when(n >= width, F.slice(let(F.col("k"), lambda k: longer(k, 1)), F.lit(1), n - width + 1)).when(n > 0, F.array(F.xxhash64("k")))
+    # the outer form, as for the other the optimizer adds a filter on the array, which computes it once more
+    return tokens.select(*keep, full.alias("h")).select(*keep, F.posexplode_outer("h").alias("pos", "h")).filter("pos IS NOT NULL")
 
-    def slots(i: Column) -> Column:
-        inside = F.transform(F.slice("v", i + 1, width), lambda x, j: F.struct(j.alias("at"), x.alias("value")))
-        return F.when(F.col("open"), F.filter(inside, lambda x: x["value"].isNotNull()))
 
-    window = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.xxhash64(F.slice("k", i + 1, width)).alias("h"), slots(i).alias("slots")))
-    return split.select(*keep, F.posexplode(F.when(F.size("k") > 0, window)).alias("pos", "w")).select(*keep, "pos", "w.h", "w.slots")
+def _slots(v: str, pos: str, width: int) -> Column:
+    """(place, value) of the placeholders of a window."""
+    inside = F.transform(F.slice(v, F.col(pos) + 1, width), lambda x, j: F.struct(j.alias("at"), x.alias("value")))
+    return F.filter(inside, lambda x: x["value"].isNotNull())
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5) -> DataFrame:
     """``doc_id, text_hash, item_id, windows, item_windows, slots_agree`` of every document and item that share a diagonal; ``leaks`` says
     whether it is enough."""
-    items = benchmark.select(F.col("item_id"), "text").filter("text IS NOT NULL").distinct()
-    item = _windows(items, "text", width, "item_id")
-    sparse = F.coalesce(F.size("slots"), F.lit(0)) * 2 <= width
-    item = settle(item.filter(F.when(F.col("slots").isNull(), True).otherwise(sparse)).select(
-        "item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")), "items")
+    items = _tokens(benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct(), "text", "item_id")
+    numbered = items.withColumn("text_no", F.xxhash64("k", "v"))  # two texts of one item are told apart
+    item = _windows(numbered, width, "item_id", "text_no", "v").select("item_id", F.col("pos").alias("item_pos"), "h", _slots("v", "pos", width).alias("item_slots"))
+    item = settle(item.filter(F.size("item_slots") * 2 <= width), "items")
     sizes = item.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    met = settle(_windows(texts, "text", width, "doc_id", "text_hash").join(item, "h").select(
-        "doc_id", "text_hash", "item_id", "pos", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "slots", "item_slots").distinct(), "met")
+    hit = settle(_windows(_tokens(texts, "text", "doc_id", "text_hash"), width, "doc_id", "text_hash").join(item.drop("item_slots"), "h").select(
+        "doc_id", "text_hash", "item_id", "pos", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "hits")
+    # only texts that met a window with placeholders are looked at again
+    slotted = item.filter(F.size("item_slots") > 0).select("item_id", "item_pos", "item_slots")
+    asked = settle(hit.join(slotted.select("item_id", "item_pos"), ["item_id", "item_pos"], "left_semi").select("doc_id", "text_hash").distinct(), "asked")
+    values = _tokens(_same(texts, asked, ["doc_id", "text_hash"], "left_semi").distinct(), "text", "doc_id", "text_hash").select("doc_id", "text_hash", "v")
+    met = settle(_same(hit.join(slotted, ["item_id", "item_pos"]), values, ["doc_id", "text_hash"], "inner").withColumn("slots", _slots("v", "pos", width)).drop("v"), "met")
     line = ["doc_id", "text_hash", "item_id", "diagonal"]
     pair = F.explode(F.arrays_zip("slots", "item_slots")).alias("p")
     slots = met.filter(F.size("slots") > 0).select(*line, "pos", "item_pos", pair).select(*line, "item_pos", F.col("p.slots.value").alias("mine"), F.col("p.item_slots.value").alias("own"))
@@ -84,7 +116,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int
     both = slots.select(*line, "item_pos", F.col("own").alias("value"), F.lit("own").alias("side")).unionByName(
         slots.select(*line, "item_pos", F.col("mine").alias("value"), F.lit("mine").alias("side")))
     off = _same(both, bad, [*line, "value", "side"], "left_semi").select(*line, "item_pos").distinct()
-    counted = _same(met, off.withColumn("off", F.lit(True)), [*line, "item_pos"], "left")
+    counted = _same(hit, off.withColumn("off", F.lit(True)), [*line, "item_pos"], "left")
     lines = counted.groupBy(*line).agg(F.count_distinct(F.when(F.col("off").isNull(), F.col("item_pos"))).alias("windows"), F.max(F.coalesce("off", F.lit(False))).alias("some_off"))
     best = lines.groupBy("doc_id", "text_hash", "item_id").agg(F.max("windows").alias("windows"), F.min("some_off").alias("some_off"))
     out = best.join(sizes, "item_id")
