@@ -32,7 +32,7 @@ BITS = 20
 SHAPES = 512
 MOST_RATED = 12_000
 LEAST_DOCS = 8
-_KINDS = np.zeros(256, np.int64)  # 1 capital, 2 mark, 3 digit
+_KINDS = np.zeros(256, np.int8)  # 1 capital, 2 mark, 3 digit
 _KINDS[65:91] = 1
 _KINDS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
 _KINDS[48:58] = 3
@@ -77,8 +77,9 @@ def features(raw: np.ndarray, ends: np.ndarray, bits: int = BITS) -> tuple[np.nd
 
 
 def _in(mask: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums = np.concatenate(([0], np.cumsum(mask)))
-    return sums[ends[1:]] - sums[ends[:-1]]
+    sums = np.zeros(len(mask) + 1, np.int32 if len(mask) < 1 << 31 else np.int64)
+    np.cumsum(mask, out=sums[1:])
+    return (sums[ends[1:]] - sums[ends[:-1]]).astype(np.int64)
 
 
 def _probabilities(score: np.ndarray, cuts: np.ndarray) -> np.ndarray:

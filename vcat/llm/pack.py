@@ -29,7 +29,7 @@ from vcat.llm.common import settle
 
 SEQUENCE, END_ID = 2048, 0
 #: Parts of texts whose ids a task keeps.
-KNOWN = 1_000_000
+KNOWN = 500_000
 BLOCK = 8192
 #: A block's sequences with less than this share of tokens are packed again.
 GOOD = 0.98

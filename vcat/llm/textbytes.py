@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 WINDOW = 1 << 19
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 U = np.uint64
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 WHITE = np.zeros(256, bool)
