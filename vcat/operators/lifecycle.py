@@ -277,7 +277,11 @@ def predecessor(level: DataFrame, key: list[str], version: int) -> DataFrame:
 def rollback(levels: dict[str, DataFrame], edges: dict[str, DataFrame], order: list[str], version: int,
              only: list[str] | None = None, name: str = "collection_id"):
     """Undo a version: drop the rows it made, re-open the rows it closed, drop the edges of dropped
-    parents. With ``only``, just for the named objects of the first level and all below them."""
+    parents. With ``only``, just for the named objects of the first level and all below them.
+
+    ``edges["version_<first level>"]`` (version, uuid) and ``levels["version"]``, where given, lose the
+    version as well; with ``only`` its edges to dropped objects lead to those that are open again.
+    """
     out_levels, out_edges, ids = {}, {}, None
     if only is not None:
         ids = levels[order[0]].filter(F.col(name).isin(only)).select("uuid")
@@ -300,6 +304,19 @@ def rollback(levels: dict[str, DataFrame], edges: dict[str, DataFrame], order: l
             out_edges[f"{lv}_{child}"] = e.join(gone.withColumnRenamed("uuid", pk), pk, "left_anti")
             if ids is not None:
                 ids = e.join(ids.withColumnRenamed("uuid", pk), pk, "left_semi").select(F.col(ck).alias("uuid"))
+    top = f"version_{order[0]}"
+    if top in edges:
+        first, pk = levels[order[0]], f"{order[0]}_uuid"
+        mine = F.col("version") == version
+        if only is None:
+            out_edges[top] = edges[top].filter(~mine)
+        else:
+            named = first.filter(F.col(name).isin(only))
+            dropped = named.filter(F.col("rev_version") == version).select(F.col("uuid").alias(pk))
+            back = named.filter(F.col("final_version") == version - 1).select(F.lit(version).alias("version"), F.col("uuid").alias(pk))
+            out_edges[top] = edges[top].join(dropped, pk, "left_anti").select("version", pk).unionByName(back)
+    if "version" in levels and only is None:
+        out_levels["version"] = levels["version"].filter(F.col("version") != version)
     return out_levels, out_edges
 
 
@@ -314,27 +331,33 @@ STACK = (  # level, its key, its parent's key
 )
 
 
-def upsert_stack(stack: dict[str, DataFrame], manifest: DataFrame, doi: str, version: int) -> dict[str, DataFrame]:
+def upsert_stack(stack: dict[str, DataFrame], manifest: DataFrame, doi: str, version: int,
+                 versioned_doi: str | None = None) -> dict[str, DataFrame]:
     """Bring a manifest in: missing levels are created; instances are added, or updated where the hash
-    changed; touched series get the lower-cased DOI.
+    changed; touched series get the lower-cased DOI, its url and the versioned DOI. Where a manifest
+    names two parents of an object, the smaller one is taken; of two rows for one instance the larger.
 
     manifest: collection_id, submitter_case_id, study_instance_uid, series_instance_uid,
     sop_instance_uid, hash, size, ingestion_url.
     """
     out = {}
     for level, key, parent in STACK[:4]:
-        cols = [c for c in (key, parent) if c]
         # The rows of one level are far fewer than the manifest's: reduce first, then compare.
-        offered = manifest.select(*cols).dropDuplicates([key])
+        offered = manifest.groupBy(key).agg(F.min(parent).alias(parent)) if parent else manifest.select(key).distinct()
         old = stack[level]
         if level == "series":
-            touched = offered.select(key).withColumn("_doi", F.lit(doi.lower()))
-            old = old.join(touched, key, "left").withColumn("source_doi", F.coalesce("_doi", "source_doi")).drop("_doi")
-            offered = offered.withColumn("source_doi", F.lit(doi.lower()))
-        fresh = offered.join(stack[level].select(key), key, "left_anti").withColumn("redacted", F.lit(False))
-        out[level] = old.unionByName(fresh, allowMissingColumns=True)
+            low = doi.lower()
+            cited = {"source_doi": F.lit(low), "source_url": F.lit(f"https://doi.org/{low}"),
+                     "versioned_source_doi": F.lit(versioned_doi.lower() if versioned_doi else None).cast("string")}
+            cited = {c: v for c, v in cited.items() if c in old.columns}
+            old = old.join(offered.select(key).withColumn("_hit", F.lit(True)), key, "left").withColumns(
+                {c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in cited.items()}).drop("_hit")
+            offered = offered.withColumns(cited)
+        fresh = offered.join(stack[level].select(key), key, "left_anti").withColumns({c: F.lit(v) for c, v in NEW_OBJECT.items() if c in old.columns})
+        fresh = fresh.select(*[F.col(f.name) if f.name in fresh.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields])
+        out[level] = old.unionByName(fresh)
     inst, key = stack["instance"], "sop_instance_uid"
-    new = manifest.select(key, F.struct("series_instance_uid", "hash", "size", "ingestion_url").alias("_n"))
+    new = manifest.groupBy(key).agg(F.max(F.struct("series_instance_uid", "hash", "size", "ingestion_url")).alias("_n"))
     j = inst.withColumn("_o", F.lit(True)).join(new, key, "full_outer")
     changed = F.col("_n").isNotNull() & (F.col("_o").isNull() | ~F.col("hash").eqNullSafe(F.col("_n.hash")))
     take = lambda c: F.when(changed, F.col(f"_n.{c}")).otherwise(F.col(c)).alias(c)

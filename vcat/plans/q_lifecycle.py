@@ -264,6 +264,12 @@ def manifest(spark, sf):
     ).dropDuplicates(["sop_instance_uid"])
 
 
+@query("v15_rollback_version", "SELECT 1 AS version, " + uuid("collection", "r_regionkey", "1") + " AS collection_uuid FROM region")
+def v15v(spark, sf):
+    """The undone version keeps no edge to a collection."""
+    return L.rollback(fx.levels(spark, sf), fx.edges(spark, sf), _ORDER, 2)[1]["version_collection"]
+
+
 _H = "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, size))"
 
 
@@ -279,12 +285,16 @@ def v16(spark, sf):
 
 @query("v16_upsert_series", with_("items", extra="""t AS (SELECT DISTINCT l_orderkey FROM items WHERE l_orderkey % 4 = 0 AND l_linenumber IN (1, 2, 3)),
 n AS (SELECT DISTINCT l_orderkey FROM items WHERE l_orderkey % 4 = 0 AND l_linenumber = 7)""") + """SELECT 'se.' || o_orderkey AS series_instance_uid,
-  'st.' || o_custkey AS study_instance_uid, CASE WHEN l_orderkey IS NOT NULL THEN '10.5281/new' ELSE '10.5281/d.' || (o_orderkey % 40) END AS source_doi
+  'st.' || o_custkey AS study_instance_uid, CASE WHEN l_orderkey IS NOT NULL THEN '10.5281/new' ELSE '10.5281/d.' || (o_orderkey % 40) END AS source_doi,
+  CASE WHEN l_orderkey IS NOT NULL THEN 'https://doi.org/10.5281/new' ELSE 'https://doi.org/10.5281/d.' || (o_orderkey % 40) END AS source_url,
+  CASE WHEN l_orderkey IS NOT NULL THEN '10.5281/new.v5' ELSE '10.5281/d.' || (o_orderkey % 40) || '.v1' END AS versioned_source_doi, false AS fresh
 FROM orders LEFT JOIN t ON l_orderkey = o_orderkey
-UNION ALL SELECT 'se.new.' || l_orderkey, 'st.new.' || (l_orderkey % 10), '10.5281/new' FROM n""")
+UNION ALL SELECT 'se.new.' || l_orderkey, 'st.new.' || (l_orderkey % 10), '10.5281/new', 'https://doi.org/10.5281/new', '10.5281/new.v5', true FROM n""")
 def v16s(spark, sf):
-    out = L.upsert_stack(stack(spark, sf), manifest(spark, sf), "10.5281/NEW", 5)
-    return out["series"].select("series_instance_uid", "study_instance_uid", "source_doi")
+    twice = manifest(spark, sf).unionByName(manifest(spark, sf))  # repeated rows make no difference
+    out = L.upsert_stack(stack(spark, sf), twice, "10.5281/NEW", 5, "10.5281/NEW.v5")
+    fresh = F.col("series_instance_uid").startswith("se.new.") & ~F.col("excluded") & ~F.col("redacted")
+    return out["series"].select("series_instance_uid", "study_instance_uid", "source_doi", "source_url", "versioned_source_doi", fresh.alias("fresh"))
 
 
 def _keys(levels) -> DataFrame:
