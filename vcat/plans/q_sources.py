@@ -38,15 +38,14 @@ def s1(spark, sf):
 
 
 def _tree_of_files(spark, sf):
-    """A folder per sixteen pages with one small file of their urls: the number of files grows, not
-    their size."""
+    """Sixteen folders with a file of urls each: the files grow, not their number."""
     path = P.scratch_dir(spark) + "/files"
-    table(spark, sf, "pages").select(F.floor(F.col("page_id") / 16).alias("bucket"), F.col("url").alias("value")).repartition(
+    table(spark, sf, "pages").select((F.col("page_id") % 16).alias("bucket"), F.col("url").alias("value")).repartition(
         "bucket").sortWithinPartitions("bucket", "value").write.partitionBy("bucket").text(path)
     return path
 
 
-_FILES = "files AS (SELECT CAST(page_id // 16 AS VARCHAR) AS bucket, md5(string_agg(url || chr(10), '' ORDER BY url)) AS hash, CAST(sum(strlen(url) + 1) AS BIGINT) AS size FROM pages GROUP BY 1)"
+_FILES = "files AS (SELECT CAST(page_id % 16 AS VARCHAR) AS bucket, md5(string_agg(url || chr(10), '' ORDER BY url)) AS hash, CAST(sum(strlen(url) + 1) AS BIGINT) AS size FROM pages GROUP BY 1)"
 
 
 @query("s2_file_manifest", f"WITH {_FILES} SELECT bucket, hash, size FROM files WHERE bucket <> '1'")
