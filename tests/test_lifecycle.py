@@ -7,6 +7,7 @@ from vcat.operators import lifecycle as L
 from vcat.operators import redact as R
 from vcat.plans import fixtures as fx
 from vcat.plans import q_lifecycle as Q
+from vcat.sources.publish import settle
 
 KEY = Q.KEY
 
@@ -69,3 +70,47 @@ def test_skipped_source_keeps_an_object(spark):
 def test_empty_and_md5_of_nothing_are_equal(spark):
     df = spark.createDataFrame([("", "d41d8cd98f00b204e9800998ecf8427e"), (None, ""), ("a", "b")], "a string, b string")
     assert [r[0] for r in df.select(L.same_hash(F.col("a"), F.col("b"))).collect()] == [True, True, False]
+
+
+def _build(*args):
+    return L.build_version(*args, settle=settle)
+
+
+def _empty(spark, path):
+    out = {}
+    for i, (name, _) in enumerate(path):
+        keys = ", ".join(f"{k} string" for _, k in path[:i + 1])
+        hashes = "src_a: string, src_b: string" + ("" if i == len(path) - 1 else ", all: string")
+        more = ", size int, excluded boolean" if i == len(path) - 1 else ""
+        out[name] = spark.createDataFrame([], f"{keys}, uuid string, hashes struct<{hashes}>, sources struct<src_a: boolean, src_b: boolean>, "
+                                              f"init_version int, rev_version int, final_version int{more}")
+    return out
+
+
+def test_build_noop_skip_and_rollback(spark):
+    path = [("collection", "c"), ("series", "s"), ("instance", "i")]
+    schema = "c string, s string, i string, hashes struct<src_a: string, src_b: string>, sources struct<src_a: boolean, src_b: boolean>, size int"
+    row = lambda c, s, i, a="", b="", size=1: (c, s, i, (a, b), (a != "", b != ""), size)
+    one = spark.createDataFrame([row("c1", "s1", "i1", "h1"), row("c1", "s1", "i2", "h2"), row("c1", "s2", "i3", "", "g3"), row("c2", "s3", "i4", "h4")], schema)
+    keep = lambda rows: {n: spark.createDataFrame(rows[n].collect(), rows[n].schema) for n, _ in path}
+    first = keep(_build(_empty(spark, path), one, path, 1)[0])
+    assert {n: first[n].count() for n, _ in path} == {"collection": 2, "series": 3, "instance": 4}
+    skip = spark.createDataFrame([("s1", (True, False))], "s string, skipped struct<src_a: boolean, src_b: boolean>")
+    for args in ((), (skip, ["s"])):
+        again = _build(first, one, path, 2, *args)[0]
+        assert all(sorted(map(str, again[n].collect())) == sorted(map(str, first[n].select(*again[n].columns).collect())) for n, _ in path)
+
+    two = spark.createDataFrame([row("c1", "s1", "i1", "new", size=9), row("c1", "s2", "i3", "", "g3"), row("c3", "s5", "i5", "h5")], schema)
+    rows, edges = _build(first, two, path, 2)
+    second = keep(rows)
+    live = {r.i: (r.hashes.src_a, r.size, r.excluded) for r in second["instance"].filter("final_version = 0").collect()}
+    assert live == {"i1": ("new", 9, False), "i3": ("", 1, False), "i5": ("h5", 1, False)}
+    assert {r.s: r.final_version for r in second["series"].filter("rev_version = 1").collect()} == {"s1": 1, "s2": 0, "s3": 1}
+    assert sorted(r.c for r in second["collection"].filter("final_version = 0").collect()) == ["c1", "c3"]
+    assert edges["version_collection"].count() == 2 and edges["series_instance"].count() == 2
+    # with its source skipped, what can't be asked stays
+    held = _build(first, two, path, 2, skip, ["s"])[0]["instance"].filter("final_version = 0 AND s = 's1'").collect()
+    assert sorted((r.i, r.hashes.src_a) for r in held) == [("i1", "h1"), ("i2", "h2")]
+    back, _ = L.rollback(second, {f"{a}_{b}": edges[f"{a}_{b}"] for a, b in (("collection", "series"), ("series", "instance"))}, ["collection", "series", "instance"], 2)
+    for n, _ in path:
+        assert sorted(map(str, back[n].collect())) == sorted(map(str, first[n].select(*back[n].columns).collect()))

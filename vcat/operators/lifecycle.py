@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vcat.functions.exprs import LIVE, SOURCES, uuid_of
-from vcat.functions.merkle import EMPTY_MD5, merkle_rollup
+from vcat.functions.merkle import EMPTY_MD5, merkle_by_source, merkle_rollup
 
 
 def _any(cols) -> Column:
@@ -426,10 +426,37 @@ def maintain_ids(id_map: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.select("name", "id").unionByName(added)
 
 
-def build_level(level: DataFrame, offered: DataFrame, key: list[str], name: str, version: int,
-                skip: DataFrame | None = None, skip_key: list[str] | None = None):
-    """One level of a version build: (classification, new level rows)."""
-    live = level.filter(F.col("final_version") == LIVE)
-    status = classify(live, offered, key, skip, skip_key)
-    return status, apply_version(level, status, key, name, version)
+def build_version(levels: dict[str, DataFrame], offered: DataFrame, path: list[tuple[str, str]], version: int, skip: DataFrame | None = None,
+                  skip_key: list[str] | None = None, settle=lambda df: df) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """A release from the one before: (rows of all levels and of the version, edges added).
 
+    path: (level, key column) from the top down; a level holds the key columns of all levels above it. ``offered``: what
+    the sources hold of the lowest level, with ``hashes``, ``sources`` and any attributes. Levels above get hashes and sources from
+    their children as they are after the build; only parents of changed children are rolled up, the others keep what is
+    stored. ``settle`` is called on each level's result, so that levels above read it and don't compute it again.
+    """
+    names, keys = [n for n, _ in path], [k for _, k in path]
+    rows, edges, offer = {}, {}, offered
+    for i in range(len(path) - 1, -1, -1):
+        name, key, lowest = names[i], keys[:i + 1], i == len(path) - 1
+        live = levels[name].filter(F.col("final_version") == LIVE)
+        status = settle(classify(live, offer, key, skip if lowest else None, skip_key))
+        rows[name] = settle(apply_version(levels[name], status, key, name, version, offered if lowest else None))
+        if not lowest:
+            edges[f"{name}_{names[i + 1]}"] = next_edges(rows[name], rows[names[i + 1]], key, name, names[i + 1], version)
+        now = rows[name].filter(F.col("final_version") == LIVE)
+        whole = "hashes.all" if "all" in now.schema["hashes"].dataType.names else F.concat(*[F.col(f"hashes.{x}") for x in SOURCES])
+        slots = {**{x: F.col(f"hashes.{x}") for x in SOURCES}, "all": F.col(whole) if isinstance(whole, str) else whole}
+        if i:
+            up = keys[:i]
+            touched = status.filter("status <> 'unchanged'").select(*up).distinct()
+            kids = now.join(touched, up, "left_semi")
+            built = merkle_by_source(kids, up, slots, tiebreak=[keys[i]]).join(sources_of(kids, up), up)
+            stored = levels[names[i - 1]].filter(F.col("final_version") == LIVE).join(touched, up, "left_anti")
+            offer = built.select(*up, "hashes", "sources").unionByName(stored.select(*up, "hashes", "sources"))
+        else:
+            edges[f"version_{name}"] = now.select(F.lit(version).alias("version"), F.col("uuid").alias(f"{name}_uuid"))
+            one = now.withColumn("version", F.lit(version))
+            rows["version"] = merkle_by_source(one, ["version"], slots, tiebreak=[keys[0]]).join(sources_of(one, ["version"]), "version").withColumn(
+                "previous_version", F.lit(version - 1))
+    return rows, edges

@@ -14,6 +14,7 @@ from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import content, merkle, uuid, with_
 from vcat.plans.registry import query
+from vcat.sources.publish import settle
 
 KEY = ["l_orderkey", "sop"]
 
@@ -429,3 +430,61 @@ def build(spark, sf):
         status = L.classify(prev, shape(now[level]), key)
         parts.append(status.groupBy("status").agg(F.count("*").alias("n")).select(F.lit(level).alias("level"), "status", "n"))
     return reduce(DataFrame.unionByName, parts)
+
+
+_PATH = [("collection", "n_regionkey"), ("patient", "c_nationkey"), ("study", "o_custkey"), ("series", "l_orderkey"), ("instance", "sop")]
+
+
+def _offered_path(spark, sf, v):
+    """What the sources offer, with the keys of all levels above."""
+    o, c, n = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
+    above = o.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey", "n_regionkey")
+    return offered(spark, sf, v).join(above, "l_orderkey")
+
+
+def _nothing(spark):
+    """Levels before the first release."""
+    out = {}
+    for i, (name, _) in enumerate(_PATH):
+        keys = ", ".join(f"{k} {'string' if k == 'sop' else 'bigint'}" for _, k in _PATH[:i + 1])
+        hashes = "src_a: string, src_b: string" + ("" if name == "instance" else ", all: string")
+        out[name] = spark.createDataFrame([], f"{keys}, uuid string, hashes struct<{hashes}>, sources struct<src_a: boolean, src_b: boolean>, "
+                                              "init_version int, rev_version int, final_version int")
+    return out
+
+
+def built(spark, sf):
+    """Two releases, each built from the one before."""
+    first, _ = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, settle=settle)
+    return L.build_version(first, _offered_path(spark, sf, 2), _PATH, 2, settle=settle)
+
+
+def _rows_sql(level, a, b, key="id"):
+    return f"SELECT '{level}' AS level, CAST(coalesce(a.{key}, b.{key}) AS VARCHAR) AS id, a.hash AS h1, b.hash AS h2 FROM {a} a FULL JOIN {b} b ON a.{key} = b.{key}"
+
+
+_BUILT = (", lv AS (SELECT 'instance' AS level, sop AS id, CASE WHEN p1 THEN " + content("1") + " END AS h1, CASE WHEN p2 THEN " + content("2") + " END AS h2 FROM items WHERE p1 OR p2 UNION ALL "
+          + " UNION ALL ".join([_rows_sql("series", "s1", "s2", "l_orderkey"), _rows_sql("study", "t1", "t2"), _rows_sql("patient", "p1", "p2"), _rows_sql("collection", "c1", "c2")])
+          + """), ro AS (SELECT level, id, 1 AS init_version, 1 AS rev_version, CASE WHEN h2 IS NULL OR h1 <> h2 THEN 1 ELSE 0 END AS final_version, h1 AS hash FROM lv WHERE h1 IS NOT NULL
+  UNION ALL SELECT level, id, CASE WHEN h1 IS NULL THEN 2 ELSE 1 END, 2, 0, h2 FROM lv WHERE h2 IS NOT NULL AND (h1 IS NULL OR h1 <> h2))""")
+
+
+@query("v_build_rows", with_("items", extra=_S12 + _CUM + _BUILT) + "SELECT * FROM ro UNION ALL SELECT 'version', '2', NULL, NULL, NULL, md5(string_agg(hash, '' ORDER BY hash)) FROM c2")
+def build_rows(spark, sf):
+    rows, _ = built(spark, sf)
+    parts = [rows[name].select(F.lit(name).alias("level"), F.col(key).cast("string").alias("id"), "init_version", "rev_version", "final_version",
+                               (F.col("hashes.all") if name != "instance" else F.concat("hashes.src_a", "hashes.src_b")).alias("hash")) for name, key in _PATH]
+    none = [F.lit(None).cast("int").alias(c) for c in ("init_version", "rev_version", "final_version")]
+    parts.append(rows["version"].select(F.lit("version").alias("level"), F.col("version").cast("string").alias("id"), *none, F.col("hashes.all").alias("hash")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("v_build_edges", with_("items", extra=_S12 + _CUM + _BUILT) + """SELECT 'series_instance' AS edge, CAST(count(*) AS BIGINT) AS n FROM items JOIN ro ON level = 'series' AND rev_version = 2 AND id = CAST(l_orderkey AS VARCHAR) WHERE p2
+UNION ALL SELECT 'study_series', count(*) FROM s2 JOIN orders ON o_orderkey = l_orderkey JOIN ro ON level = 'study' AND rev_version = 2 AND ro.id = CAST(o_custkey AS VARCHAR)
+UNION ALL SELECT 'patient_study', count(*) FROM t2 JOIN customer ON c_custkey = t2.id JOIN ro ON level = 'patient' AND rev_version = 2 AND ro.id = CAST(c_nationkey AS VARCHAR)
+UNION ALL SELECT 'collection_patient', count(*) FROM p2 JOIN nation ON n_nationkey = p2.id JOIN ro ON level = 'collection' AND rev_version = 2 AND ro.id = CAST(n_regionkey AS VARCHAR)
+UNION ALL SELECT 'version_collection', count(*) FROM c2""")
+def build_edges(spark, sf):
+    _, edges = built(spark, sf)
+    return reduce(DataFrame.unionByName, [e.agg(F.count("*").alias("n")).select(F.lit(name).alias("edge"), "n") for name, e in edges.items()])
