@@ -190,8 +190,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, m: int = PLA
     central = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     first = members.join(central, "rep").groupBy("band").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("first"))
     sigs = classes.select("rep", "sig")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi")
-    texts = settle(texts, "texts")
+    ids = settle(members.select("rep").distinct(), "ids")  # of a known size: while they are few, the planner moves them and not the texts
+    texts = settle(docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi"), "texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are links."""
