@@ -62,3 +62,9 @@ def test_against_plain_windows(docs):
                         by.setdefault(p - q, set()).add(q)
             hit |= any(len(s) >= least for s in by.values())
         assert got[i] == hit
+
+
+def test_short_items_are_found_inside_texts(docs):
+    items = [(1, "What is 3 plus 4"), (2, "Name it"), (3, "alone")]
+    got = leaks(docs, ["Well, they asked: what is 3 plus 4? Nobody in the room could say it at once", "Nobody could name it in time", "what is 3 plus", "They left him ALONE!", "it name"], items)
+    assert got == {0: True, 1: True, 2: False, 3: True, 4: False}

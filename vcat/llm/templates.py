@@ -7,7 +7,8 @@ with other numbers or names is met too. On one diagonal (offset between text and
 for two values of the text, or two values for one, isn't a renaming, and such windows don't count.
 
 A document leaks an item if ``least`` windows of a diagonal count, or all windows of an item that has fewer. Windows of which more than half are
-placeholders say nothing and are not used. A text of fewer than ``width`` tokens is one window, so short items are found as whole texts.
+placeholders say nothing and are not used. A text of fewer than ``width`` tokens is one window. An item of fewer is also found
+word by word inside any text, be it a single word; with other values it is found as a whole text only.
 
 The windows of the benchmark are joined by hash: broadcast by the planner where they are small, shuffled where not. The document side is not
 grouped before the join; only what matches is.
@@ -46,30 +47,34 @@ def _literal(text: Column) -> Column:
     return F.array_remove(F.transform(F.split(_clean(text), _WHITE), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
-def _typed(text: Column) -> Column:
-    """Array of (k, v): hash of the canonical token; the value of a placeholder, else null. Words of marks alone are left out."""
-    def one(words: Column, w: Column, i: Column, low: Column) -> Column:
+def _typed(text: Column, lead: bool) -> Column:
+    """Array of (k, v, w): hash of the canonical token; the value of a placeholder, else null; hash of the word itself. Words of marks alone are
+    left out. ``lead``: the first word may be a name too."""
+    def one(words: Column, lows: Column, w: Column, i: Column, low: Column) -> Column:
         before = F.get(words, i - 1)
         digits = low.between("0", "9\uffff")
-        unit = _clean(before).between("0", "9\uffff") & low.isin(*UNITS)
+        unit = F.get(lows, i - 1).between("0", "9\uffff") & low.isin(*UNITS)
         core = F.translate(w, _MARKS, "")
-        name = (i > 0) & (low != core) & (F.upper(core) != core) & ~F.right(before, F.lit(1)).isin(*_STOPS)
+        name = ((i > 0) | F.lit(lead)) & (F.lower(core) != core) & (F.upper(core) != core) & ~F.coalesce(F.right(before, F.lit(1)).isin(*_STOPS), F.lit(False))
         kind = F.when(digits, F.lit("<number>")).when(unit, F.lit("<unit>")).when(name, F.lit("<name>"))
-        return let(kind, lambda c: F.when(low != "", F.struct(F.xxhash64(F.coalesce(c, low)).alias("k"), F.when(c.isNotNull(), low).alias("v"))))
+        return let(kind, lambda c: F.when(low != "", F.struct(F.xxhash64(F.coalesce(c, low)).alias("k"), F.when(c.isNotNull(), low).alias("v"), F.xxhash64(low).alias("w"))))
 
-    return let(F.split(text, _WHITE), lambda ws: F.filter(F.transform(ws, lambda w, i: let(_clean(w), lambda low: one(ws, w, i, low))), lambda x: x.isNotNull()))
+    def whole(words: Column, lows: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, i: let(F.get(lows, i), lambda low: one(words, lows, w, i, low))), lambda x: x.isNotNull())
 
+    return let(F.split(text, _WHITE), lambda ws: let(F.split(_clean(text), _WHITE), lambda ls: whole(ws, ls)))
 
-def _tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """``keep, k, v``: token hashes and placeholder values, as columns, so that each is computed once."""
+
+def _tokens(df: DataFrame, text: str, *keep: str, lead: bool = False) -> DataFrame:
+    """``keep, k, v, w``: token hashes, placeholder values and, null in a text of nothing but words, word hashes, as columns, so that each is computed once."""
     t = F.col(text)
-    typed = df.select(*keep, text, F.when(t.rlike(_PLACEHOLDER), _typed(t)).alias("t"))
+    typed = df.select(*keep, text, F.when(F.lit(lead) | t.rlike(_PLACEHOLDER), _typed(t, lead)).alias("t"))
     words = F.when(t.isNotNull(), _literal(t))
-    return typed.select(*keep, F.coalesce(F.col("t.k"), words).alias("k"), F.coalesce("t.v", F.transform(words, lambda _: F.lit(None).cast("string"))).alias("v"))
+    return typed.select(*keep, F.coalesce(F.col("t.k"), words).alias("k"), F.coalesce("t.v", F.transform(words, lambda _: F.lit(None).cast("string"))).alias("v"), F.col("t.w").alias("w"))
 
 
-def _windows(tokens: DataFrame, width: int, *keep: str) -> DataFrame:
-    """``keep, pos, h``: the hash of every window of ``width`` tokens, or of all tokens where they are fewer. Hashes of two
+def _rolled(k: Column, width: int) -> Column:
+    """The hash of the ``width`` tokens from every place on; those of the last ``width - 1`` places are no windows. Hashes of two
     windows make that of a window up to twice as long, so the work doesn't grow with the width."""
     def longer(h: Column, have: int) -> Column:
         if have >= width:
@@ -78,10 +83,20 @@ def _windows(tokens: DataFrame, width: int, *keep: str) -> DataFrame:
         pairs = F.zip_with(h, F.slice(h, F.lit(step + 1), F.greatest(F.size(h), F.lit(1))), lambda x, y: F.xxhash64(x, y))
         return let(pairs, lambda p: longer(p, have + step))
 
+    return let(k, lambda h: longer(h, 1))
+
+
+def _windows(tokens: DataFrame, width: int, shorter: list[int], *keep: str) -> DataFrame:
+    """``keep, n, long, pos, h`` of a text of ``n`` tokens: the hash of every window of ``width`` canonical tokens, or of all tokens where they are
+    fewer (``long`` is 0), of every window of ``width`` words where that is another one, and of every window of as many words as ``shorter`` lists."""
     n = F.size("k")
-    full = F.when(n >= width, F.slice(let(F.col("k"), lambda k: longer(k, 1)), F.lit(1), n - width + 1)).when(n > 0, F.array(F.xxhash64("k")))
+    canonical = F.when(n >= width, _rolled(F.col("k"), width)).otherwise(F.array_repeat(F.xxhash64("k"), n))
+    short = [_rolled(F.coalesce("w", "k"), s) for s in shorter]
+    every = let(canonical, lambda c: F.concat(c, *short))
     # the outer form, as for the other the optimizer adds a filter on the array, which computes it once more
-    return tokens.select(*keep, full.alias("h")).select(*keep, F.posexplode_outer("h").alias("pos", "h")).filter("pos IS NOT NULL")
+    each = tokens.select(*keep, n.alias("n"), every.alias("h")).select(*keep, "n", F.posexplode_outer("h").alias("i", "h")).filter("i IS NOT NULL AND h IS NOT NULL")
+    laid = each.select(*keep, "n", F.get(F.array(*map(F.lit, [0, *shorter, width])), F.expr("int(i div n)")).alias("long"), F.expr("i % n").alias("pos"), "h")
+    return laid.filter(F.col("pos") <= F.when(F.col("long") > 0, F.col("n") - F.col("long")).otherwise(F.greatest(F.col("n") - width, F.lit(0))))
 
 
 def _slots(v: str, pos: str, width: int) -> Column:
@@ -93,20 +108,28 @@ def _slots(v: str, pos: str, width: int) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5) -> DataFrame:
     """``doc_id, text_hash, item_id, windows, item_windows, slots_agree`` of every document and item that share a diagonal; ``leaks`` says
     whether it is enough."""
-    items = _tokens(benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct(), "text", "item_id")
-    numbered = items.withColumn("text_no", F.xxhash64("k", "v"))  # two texts of one item are told apart
-    item = _windows(numbered, width, "item_id", "text_no", "v").select("item_id", F.col("pos").alias("item_pos"), "h", _slots("v", "pos", width).alias("item_slots"))
-    item = settle(item.filter(F.size("item_slots") * 2 <= width), "items")
-    sizes = item.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    # nothing but marks before the first token, so that it is the first word
+    texts = benchmark.filter("text IS NOT NULL").select("item_id", F.ltrim("text", F.lit(_MARKS + " \t\n\x0b\f\r")).alias("text")).distinct()
+    texts = texts.withColumn("text_no", F.xxhash64("item_id", "text"))  # two texts of one item are told apart
+    own = ["item_id", "text_no"]
+    numbered = settle(_tokens(texts, "text", *own), "items")
+    shorter = sorted(r.n for r in numbered.select(F.size("k").alias("n")).filter((F.col("n") > 0) & (F.col("n") < width)).distinct().collect())
+    slotted = _slots("v", "pos", width).alias("item_slots")
+    item = _windows(numbered, width, shorter, *own, "v").filter(~F.col("long").isin(*shorter) | (F.col("long") == F.col("n")))
+    item = item.select(*own, "n", "long", F.lit(False).alias("lead"), F.col("pos").alias("item_pos"), "h", slotted)
+    item = item.withColumn("typed", F.col("long") == 0).withColumn("exact", ~F.col("typed") | (F.size("item_slots") == 0))
+    item = settle(item.filter(~F.col("typed") | (F.size("item_slots") * 2 <= F.lit(width))), "windows")
+    sizes = item.groupBy(*own, F.greatest(F.col("n") - (width - 1), F.lit(1)).alias("item_windows")).agg(F.count_distinct(F.when(F.col("typed"), F.col("item_pos"))).alias("typed_windows"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    hit = settle(_windows(_tokens(texts, "text", "doc_id", "text_hash"), width, "doc_id", "text_hash").join(item.drop("item_slots"), "h").select(
-        "doc_id", "text_hash", "item_id", "pos", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "hits")
+    hit = settle(_windows(_tokens(texts, "text", "doc_id", "text_hash"), width, shorter, "doc_id", "text_hash").select("doc_id", "text_hash", "pos", "h").join(item.drop("item_slots", "n"), "h").select(
+        "doc_id", "text_hash", "text_no", "pos", "item_pos", "lead", "typed", "exact", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "hits")
     # only texts that met a window with placeholders are looked at again
-    slotted = item.filter(F.size("item_slots") > 0).select("item_id", "item_pos", "item_slots")
-    asked = settle(hit.join(slotted.select("item_id", "item_pos"), ["item_id", "item_pos"], "left_semi").select("doc_id", "text_hash").distinct(), "asked")
+    slotted = item.filter("NOT exact").select("text_no", "item_pos", "lead", "item_slots").distinct()
+    renamed = hit.filter("NOT exact")
+    asked = settle(renamed.select("doc_id", "text_hash").distinct(), "asked")
     values = _tokens(_same(texts, asked, ["doc_id", "text_hash"], "left_semi").distinct(), "text", "doc_id", "text_hash").select("doc_id", "text_hash", "v")
-    met = settle(_same(hit.join(slotted, ["item_id", "item_pos"]), values, ["doc_id", "text_hash"], "inner").withColumn("slots", _slots("v", "pos", width)).drop("v"), "met")
-    line = ["doc_id", "text_hash", "item_id", "diagonal"]
+    met = settle(_same(renamed.join(slotted, ["text_no", "item_pos", "lead"]), values, ["doc_id", "text_hash"], "inner").withColumn("slots", _slots("v", "pos", width)).drop("v"), "met")
+    line = ["doc_id", "text_hash", "text_no", "diagonal"]
     pair = F.explode(F.arrays_zip("slots", "item_slots")).alias("p")
     slots = met.filter(F.size("slots") > 0).select(*line, "pos", "item_pos", pair).select(*line, "item_pos", F.col("p.slots.value").alias("mine"), F.col("p.item_slots.value").alias("own"))
     # values of one diagonal that don't go one to one
@@ -117,11 +140,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int
         slots.select(*line, "item_pos", F.col("mine").alias("value"), F.lit("mine").alias("side")))
     off = _same(both, bad, [*line, "value", "side"], "left_semi").select(*line, "item_pos").distinct()
     counted = _same(hit, off.withColumn("off", F.lit(True)), [*line, "item_pos"], "left")
-    lines = counted.groupBy(*line).agg(F.count_distinct(F.when(F.col("off").isNull(), F.col("item_pos"))).alias("windows"), F.max(F.coalesce("off", F.lit(False))).alias("some_off"))
-    best = lines.groupBy("doc_id", "text_hash", "item_id").agg(F.max("windows").alias("windows"), F.min("some_off").alias("some_off"))
-    out = best.join(sizes, "item_id")
-    return out.select("doc_id", "text_hash", "item_id", "windows", "item_windows", (~F.col("some_off")).alias("slots_agree"),
-                      (F.col("windows") >= F.least(F.lit(least), "item_windows")).alias("leaks"))
+    fits = F.col("off").isNull()
+    lines = counted.groupBy(*line).agg(
+        F.count_distinct(F.when(F.col("exact") | fits, F.col("item_pos"))).alias("windows"), F.count_distinct(F.when(F.col("typed") & fits, F.col("item_pos"))).alias("typed_met"),
+        F.max(F.coalesce("off", F.lit(False))).alias("some_off"))
+    # windows of too many placeholders don't raise the bar for a text with other values
+    enough = (F.col("windows") >= F.least(F.lit(least), "item_windows")) | ((F.col("typed_windows") > 0) & (F.col("typed_met") >= F.least(F.lit(least), "typed_windows")))
+    return lines.join(sizes, "text_no").groupBy("doc_id", "text_hash", "item_id").agg(
+        F.max("windows").alias("windows"), F.max_by("item_windows", "windows").alias("item_windows"), (~F.min("some_off")).alias("slots_agree"), F.max(enough).alias("leaks"))
 
 
 def _same(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
