@@ -68,3 +68,11 @@ def test_short_items_are_found_inside_texts(docs):
     items = [(1, "What is 3 plus 4"), (2, "Name it"), (3, "alone")]
     got = leaks(docs, ["Well, they asked: what is 3 plus 4? Nobody in the room could say it at once", "Nobody could name it in time", "what is 3 plus", "They left him ALONE!", "it name"], items)
     assert got == {0: True, 1: True, 2: False, 3: True, 4: False}
+
+
+def test_items_of_placeholders_are_found_as_copies(docs):
+    series, people, pair = "2 3 5 7 11 13 17 19 23 29", "Then Ada Grace Alan Kurt Emmy Paul John Edsger Donald met", "12 34"
+    items = [(1, series), (2, people), (3, pair)]
+    got = leaks(docs, [f"The primes are {series} and so on", f"We read that {people.lower()} there", "56 78", "see 12 34 here", "1 4 6 8 10 12 14 16 18 20",
+                       "Then Ida Green Adam Karl Anna Pete Jack Erwin David met"], items)
+    assert got == {0: True, 1: True, 2: False, 3: True, 4: False, 5: False}

@@ -10,6 +10,9 @@ A document leaks an item if ``least`` windows of a diagonal count, or all window
 placeholders say nothing and are not used. A text of fewer than ``width`` tokens is one window. An item of fewer is also found
 word by word inside any text, be it a single word; with other values it is found as a whole text only.
 
+All windows are joined by their words too, values included and letter case not: so copies are found whatever their placeholders and whatever stands
+before them, and windows of too many placeholders count for nothing else.
+
 The windows of the benchmark are joined by hash: broadcast by the planner where they are small, shuffled where not. The document side is not
 grouped before the join; only what matches is.
 
@@ -91,8 +94,9 @@ def _windows(tokens: DataFrame, width: int, shorter: list[int], *keep: str) -> D
     fewer (``long`` is 0), of every window of ``width`` words where that is another one, and of every window of as many words as ``shorter`` lists."""
     n = F.size("k")
     canonical = F.when(n >= width, _rolled(F.col("k"), width)).otherwise(F.array_repeat(F.xxhash64("k"), n))
+    literal = F.when(F.col("w").isNotNull(), _rolled(F.col("w"), width)).otherwise(F.array().cast("array<bigint>"))
     short = [_rolled(F.coalesce("w", "k"), s) for s in shorter]
-    every = let(canonical, lambda c: F.concat(c, *short))
+    every = let(canonical, lambda c: F.concat(c, *short, let(literal, lambda l: F.transform(l, lambda x, i: F.when(x != F.get(c, i), x)))))
     # the outer form, as for the other the optimizer adds a filter on the array, which computes it once more
     each = tokens.select(*keep, n.alias("n"), every.alias("h")).select(*keep, "n", F.posexplode_outer("h").alias("i", "h")).filter("i IS NOT NULL AND h IS NOT NULL")
     laid = each.select(*keep, "n", F.get(F.array(*map(F.lit, [0, *shorter, width])), F.expr("int(i div n)")).alias("long"), F.expr("i % n").alias("pos"), "h")
@@ -118,7 +122,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int
     item = _windows(numbered, width, shorter, *own, "v").filter(~F.col("long").isin(*shorter) | (F.col("long") == F.col("n")))
     item = item.select(*own, "n", "long", F.lit(False).alias("lead"), F.col("pos").alias("item_pos"), "h", slotted)
     item = item.withColumn("typed", F.col("long") == 0).withColumn("exact", ~F.col("typed") | (F.size("item_slots") == 0))
-    item = settle(item.filter(~F.col("typed") | (F.size("item_slots") * 2 <= F.lit(width))), "windows")
+    item = settle(item.filter(~F.col("typed") | (F.size("item_slots") * 2 <= F.least(F.lit(width), "n"))), "windows")
     sizes = item.groupBy(*own, F.greatest(F.col("n") - (width - 1), F.lit(1)).alias("item_windows")).agg(F.count_distinct(F.when(F.col("typed"), F.col("item_pos"))).alias("typed_windows"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     hit = settle(_windows(_tokens(texts, "text", "doc_id", "text_hash"), width, shorter, "doc_id", "text_hash").select("doc_id", "text_hash", "pos", "h").join(item.drop("item_slots", "n"), "h").select(
