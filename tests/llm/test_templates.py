@@ -76,3 +76,11 @@ def test_items_of_placeholders_are_found_as_copies(docs):
     got = leaks(docs, [f"The primes are {series} and so on", f"We read that {people.lower()} there", "56 78", "see 12 34 here", "1 4 6 8 10 12 14 16 18 20",
                        "Then Ida Green Adam Karl Anna Pete Jack Erwin David met"], items)
     assert got == {0: True, 1: True, 2: False, 3: True, 4: False, 5: False}
+
+
+def test_copies_behind_anything_and_in_any_case(docs):
+    item = "Trains leave the station every 20 minutes until late evening"
+    named = "yesterday Maria drove along a road beside Straßburg before noon and met Otto by chance"
+    got = leaks(docs, [f"A heading\n{item}", f"first, {item}", f"(see {item})", f"\"quoted\" {item}", f"A heading\n{item.replace('20', '35')}", f"Before. {item.replace('20', '35')}",
+                       named.upper(), named.lower(), f"Some say {named.title()}"], [(1, item), (2, named), (3, "- " + item)])
+    assert got == dict.fromkeys(range(9), True)

@@ -11,7 +11,8 @@ placeholders say nothing and are not used. A text of fewer than ``width`` tokens
 word by word inside any text, be it a single word; with other values it is found as a whole text only.
 
 All windows are joined by their words too, values included and letter case not: so copies are found whatever their placeholders and whatever stands
-before them, and windows of too many placeholders count for nothing else.
+before them, and windows of too many placeholders count for nothing else. The first word of an item is
+read both as a word and as a name, as what stands before it in a text decides there.
 
 The windows of the benchmark are joined by hash: broadcast by the planner where they are small, shuffled where not. The document side is not
 grouped before the join; only what matches is.
@@ -42,7 +43,8 @@ _PLACEHOLDER = r"[0-9]|[^\s.!?:]\s+\p{Lu}\p{Ll}"
 
 
 def _clean(text: Column) -> Column:
-    return F.translate(F.lower(text), _MARKS, "")
+    # small letters of the capitals, so that "ß" is "ss" as in a copy in capitals; the optimizer would drop F.upper right below F.lower
+    return F.lower(F.translate(F.upper(text), _MARKS, ""))
 
 
 def _literal(text: Column) -> Column:
@@ -121,6 +123,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int
     slotted = _slots("v", "pos", width).alias("item_slots")
     item = _windows(numbered, width, shorter, *own, "v").filter(~F.col("long").isin(*shorter) | (F.col("long") == F.col("n")))
     item = item.select(*own, "n", "long", F.lit(False).alias("lead"), F.col("pos").alias("item_pos"), "h", slotted)
+    # the first word is a name where the text before it ends in no stop
+    named = _windows(_tokens(texts, "text", *own, lead=True), width, [], *own, "v").filter("long = 0 AND pos = 0")
+    item = item.unionByName(named.select(*own, "n", "long", F.lit(True).alias("lead"), F.col("pos").alias("item_pos"), "h", slotted))
     item = item.withColumn("typed", F.col("long") == 0).withColumn("exact", ~F.col("typed") | (F.size("item_slots") == 0))
     item = settle(item.filter(~F.col("typed") | (F.size("item_slots") * 2 <= F.least(F.lit(width), "n"))), "windows")
     sizes = item.groupBy(*own, F.greatest(F.col("n") - (width - 1), F.lit(1)).alias("item_windows")).agg(F.count_distinct(F.when(F.col("typed"), F.col("item_pos"))).alias("typed_windows"))
