@@ -38,8 +38,9 @@ _MARKS = ".,;:!?\"'`()[]{}<>|*#&%$€£~^_=+-/\\“”‘’«»…–—"
 _STOPS = (".", "!", "?", ":")
 
 
-#: Texts in which this is not found have neither numbers nor names, so nothing but words.
-_PLACEHOLDER = r"[0-9]|[^\s.!?:]\s+\p{Lu}\p{Ll}"
+#: Texts in which this is not found have neither numbers nor names, so nothing but words: no digit, and no capital (or letter of a later Unicode) in
+#: any word that doesn't follow a stop.
+_PLACEHOLDER = r"[0-9]|(?:^|[^\s.!?:])\s+\S*[\p{IsUppercase}\p{Lt}\p{Cn}]"
 
 
 def _clean(text: Column) -> Column:
