@@ -41,3 +41,10 @@ def test_run_and_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_texts_of_one_id_are_judged_apart(spark):
+    words = lambda a: " ".join(f"{a}{i}" for i in range(60))
+    rows = [(1, words("a")), (3, words("a") + " end"), (3, words("b")), (3, words("b")), (4, words("c")), (4, words("d")), (2, words("e")), (9, words("d") + " end"), (None, words("a"))]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted((r.doc_id or 0, r.text[:1]) for r in out.collect()) == [(0, "a"), (1, "a"), (2, "e"), (3, "b"), (4, "c"), (4, "d")]
