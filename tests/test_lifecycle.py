@@ -114,3 +114,15 @@ def test_build_noop_skip_and_rollback(spark):
     back, _ = L.rollback(second, {f"{a}_{b}": edges[f"{a}_{b}"] for a, b in (("collection", "series"), ("series", "instance"))}, ["collection", "series", "instance"], 2)
     for n, _ in path:
         assert sorted(map(str, back[n].collect())) == sorted(map(str, first[n].select(*back[n].columns).collect()))
+
+
+def test_noop_compares_version_rows_of_builds(spark, monkeypatch):
+    built = []
+
+    def build(levels, offered, path, version, settle=None):
+        built.append(version)
+        return {"version": spark.sql(f"SELECT {version} AS version, named_struct('all', '{'x' if len(built) < 3 else 'y'}') AS hashes")}, {}
+
+    monkeypatch.setattr(Q.L, "build_version", build)
+    assert {r.pair: r.noop for r in Q.v14(spark, SF).collect()} == {"same": True, "other": False}
+    assert built == [1, 2, 2]

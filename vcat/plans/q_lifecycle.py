@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vcat.functions.exprs import uuid_of
-from vcat.functions.merkle import merkle_rollup
 from vcat.operators import lifecycle as L
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
@@ -204,9 +203,11 @@ def v13(spark, sf):
 
 @query("v14_noop", "SELECT * FROM (VALUES ('same', true), ('other', false)) t(pair, noop)")
 def v14(spark, sf):
-    row = lambda h: merkle_rollup(table(spark, sf, "customer").select(F.lit(1).alias("v"), h.alias("h")), ["v"], "h")
-    a = row(F.md5("c_name"))
-    same, other = L.is_noop(a, row(F.md5("c_name"))), L.is_noop(a, row(F.md5(F.concat("c_name", F.lit("x")))))
+    """The same offer built once more, and the next one, each on the first release."""
+    first, _ = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, settle=settle)
+    row = lambda rows: rows["version"].select(F.col("hashes.all").alias("hash"))
+    a, again, later = row(first), *(row(L.build_version(first, _offered_path(spark, sf, v), _PATH, 2, settle=settle)[0]) for v in (1, 2))
+    same, other = L.is_noop(a, again), L.is_noop(a, later)
     return same.select(F.lit("same").alias("pair"), "noop").unionByName(other.select(F.lit("other").alias("pair"), "noop"))
 
 
