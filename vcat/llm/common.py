@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,34 @@ def free_name(df: DataFrame, want: str) -> str:
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, whatever the optimizer does to columns that a lambda refers to."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def equal(a: DataFrame, b: DataFrame, on: list[str]) -> Column:
+    """Join condition: all these columns are equal, nulls too. ``b`` has them under other names: an ``_r_`` in front."""
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & a[c].eqNullSafe(b[f"_r_{c}"])
+    return cond
+
+
+def join_equal(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Columns of ``a`` and the others of ``b``; rows meet where ``on`` are equal, nulls too."""
+    b = b.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    return a.join(b, equal(a, b, on), how).drop(*(f"_r_{c}" for c in on))
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], rank: str = "rank", total: str = "total") -> DataFrame:
+    """``df``, written, with each row's place (from 0) among the rows of its ``keys``, and their number. Rows are sorted by ranges, so a key with any
+    share of them is many partitions; what is summed in order is a count for each key and partition."""
+    by = [*(F.col(c).asc_nulls_first() for c in keys), *order]
+    laid = settle(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    laid = laid.withColumn("_part", F.shiftright("_at", 33))
+    parts = laid.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_begin", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+    if keys:
+        totals = join_equal(parts, parts.groupBy(*keys).agg(F.sum("_n").alias(total)), keys)
+    else:
+        totals = parts.withColumn(total, F.sum("_n").over(Window.partitionBy()))
+    out = join_equal(laid, settle(totals.drop("_n", "_first"), "parts"), [*keys, "_part"])
+    return out.withColumn(rank, F.col("_begin") + F.col("_at")).drop("_at", "_part", "_begin")

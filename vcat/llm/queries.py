@@ -4,7 +4,7 @@ import importlib
 
 from vcat.llm.registry import ORACLES, QUERIES
 
-for _m in ("q_native", "q_text"):
+for _m in ("q_native", "q_text", "q_corpus"):
     importlib.import_module(f"vcat.llm.{_m}")
 
 __all__ = ["ORACLES", "QUERIES"]
