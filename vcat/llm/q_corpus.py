@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vcat.llm import manifest
+from vcat.llm import manifest, mixing
 from vcat.llm.common import table
 from vcat.llm.registry import query
 
@@ -23,6 +23,12 @@ def _leaf_sql(n_chars: str) -> str:
     return f"sha256({' || '.join(map(part, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
 
 
+@query("op11_pivotal_mixing")
+def op11_pivotal_mixing(spark, sf):
+    mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+
+
 _FOLD = "list_reduce({path}, lambda a, x: sha256(CASE WHEN x[1] = 'L' THEN substr(x, 2) || a ELSE a || substr(x, 2) END))"
 _STEP = "CASE WHEN b.hash IS NULL THEN 'A' WHEN b.j < a.j THEN 'L' || b.hash ELSE 'R' || b.hash END"
 
