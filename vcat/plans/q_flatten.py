@@ -12,19 +12,23 @@ from vcat.plans.registry import query
 from vcat.sources.publish import settle
 
 
-def flat(spark, sf):
+def flatten(spark, sf):
     return FL.all_flattened(fx.levels(spark, sf), fx.edges(spark, sf))
 
 
+def flat(spark, sf):
+    """The flattened table as a release keeps it: stored, a folder for each version."""
+    return fx.stored(spark, sf, "flat", lambda: flatten(spark, sf), by="version")
+
+
 def sources(spark, f):
     return FL.all_sources(f, fx.access_lookup(spark), fx.sunset_lookup(spark), fx.analysis_lookup(spark))
 
 
 def joined(spark, sf):
-    """The source table is written out first, as a release does: a few rows per collection, so the
-    flattened rows are not shuffled by their (skewed) DOI to meet it."""
+    """The source table is stored as well: a few rows per collection, so the flattened rows are not shuffled by their (skewed) DOI to meet it."""
     f = flat(spark, sf)
-    return FL.all_joined(f, settle(sources(spark, f)))
+    return FL.all_joined(f, fx.stored(spark, sf, "sources", lambda: sources(spark, f)))
 
 
 def public(spark, sf):
@@ -79,7 +83,7 @@ _J1 = f"""SELECT version, version - 1 AS previous_version, {TS.format(c='version
 
 @query("j1_all_flattened", with_("flat") + _J1)
 def j1(spark, sf):
-    return _shown(flat(spark, sf))
+    return _shown(flatten(spark, sf))
 
 
 @query("j2_source_stack_flat", with_("items") + """SELECT r_name AS collection_id, md5('c|' || r_regionkey) AS c_hash, false AS c_redacted,
@@ -225,8 +229,8 @@ _DEVB = "CASE WHEN se_rev = 2 THEN 'v2_' || i_source || '_' || lower(replace(col
 
 
 def aux(spark, sf, target="pub"):
-    """The current public rows feed both the DOI look-up and the table itself: joined once, read twice."""
-    cur = settle(current(spark, sf))
+    """The current public rows feed both the DOI look-up and the table itself; of the stored flat table they are one version."""
+    cur = current(spark, sf)
     return FL.auxiliary(cur, fx.license_lookup(spark), settle(FL.newest_versioned_doi(cur)), target, fx.LAST)
 
 

@@ -36,9 +36,9 @@ def offered(spark, sf, v):
 
 def stored(spark, sf):
     """Instance level after release 1."""
-    return offered(spark, sf, 1).select(
+    return fx.stored(spark, sf, "release_1.instance", lambda: offered(spark, sf, 1).select(
         *KEY, uuid_of("instance", F.concat_ws("|", *KEY), F.lit(1)).alias("uuid"), "hashes", "sources",
-        F.lit(1).alias("init_version"), F.lit(1).alias("rev_version"), F.lit(0).alias("final_version"))
+        F.lit(1).alias("init_version"), F.lit(1).alias("rev_version"), F.lit(0).alias("final_version")), "sop")
 
 
 _STATUS = "CASE WHEN NOT p1 THEN 'new' WHEN NOT p2 THEN 'retired' WHEN chg THEN 'revised' ELSE 'unchanged' END"

@@ -39,6 +39,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store(df: DataFrame, key: str | None = None, by: str | None = None) -> DataFrame:
+    """A table that many readers share, written once: with ``key`` its rows are spread by it and sorted, so that scans start on all cores and lookups skip row groups; with
+    ``by`` it has a folder for each value, so that a filter on it reads those alone."""
+    path = f"{scratch_dir(df.sparkSession)}/t"
+    laid = df
+    if key is not None:
+        laid = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key)
+    writer = laid.write if by is None else laid.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def export_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep="\t", header=True)
 
