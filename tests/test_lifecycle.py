@@ -1,5 +1,6 @@
 """Invariants of the version lifecycle."""
 
+import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -119,10 +120,78 @@ def test_build_noop_skip_and_rollback(spark):
 def test_noop_compares_version_rows_of_builds(spark, monkeypatch):
     built = []
 
-    def build(levels, offered, path, version, settle=None):
+    def build(levels, offered, path, version, settle=None, **_):
         built.append(version)
         return {"version": spark.sql(f"SELECT {version} AS version, named_struct('all', '{'x' if len(built) < 3 else 'y'}') AS hashes")}, {}
 
     monkeypatch.setattr(Q.L, "build_version", build)
     assert {r.pair: r.noop for r in Q.v14(spark, SF).collect()} == {"same": True, "other": False}
     assert built == [1, 2, 2]
+
+
+_PATH3 = [("collection", "c"), ("series", "s"), ("instance", "i")]
+_HASHES, _HAS = "hashes struct<src_a: string, src_b: string>", "sources struct<src_a: boolean, src_b: boolean>"
+
+
+def _full_levels(spark):
+    """No rows yet, with all attributes that a catalogue has."""
+    span = "init_version int, rev_version int, final_version int"
+    whole = f"hashes struct<src_a: string, src_b: string, all: string>, {_HAS}, {span}"
+    stamps = "min_timestamp string, max_timestamp string"
+    return {"collection": spark.createDataFrame([], f"c string, uuid string, {whole}, {stamps}, collection_id string"),
+            "series": spark.createDataFrame([], f"c string, s string, uuid string, {whole}, {stamps}, series_instances bigint, source_doi string, excluded boolean"),
+            "instance": spark.createDataFrame([], f"c string, s string, i string, uuid string, {_HASHES}, {_HAS}, {span}, timestamp string, size int")}
+
+
+def _offer(spark, *rows):
+    """rows: c, s, i, hash at the first source, timestamp."""
+    return spark.createDataFrame([(c, s, i, (h, ""), (True, False), t, 1) for c, s, i, h, t in rows], f"c string, s string, i string, {_HASHES}, {_HAS}, timestamp string, size int")
+
+
+def _told(spark, **names):
+    return {"collection": spark.createDataFrame(list(names.items()), "c string, collection_id string"),
+            "series": spark.createDataFrame([("c1", "s1", "doi1"), ("c1", "s9", "doi9"), ("c2", "s2", "doi2")], "c string, s string, source_doi string")}
+
+
+def test_build_carries_attributes_and_renames(spark):
+    one = _offer(spark, ("c1", "s1", "i1", "h1", "t1"), ("c2", "s2", "i2", "h2", "t1"))
+    args = {"names": {"collection": "collection_id"}, "settle": settle}
+    first, _ = L.build_version(_full_levels(spark), one, _PATH3, 1, attributes=_told(spark, c1="One", c2="Two"), **args)
+    two = _offer(spark, ("c1", "s1", "i1", "h1", "t9"), ("c1", "s1", "i3", "h3", "t2"), ("c1", "s9", "i9", "h9", "t3"), ("c2", "s2", "i2", "h2", "t1"))
+    rows, edges = L.build_version(first, two, _PATH3, 2, attributes=_told(spark, c1="One", c2="second"), **args)
+    series = {(r.s, r.rev_version): (r.series_instances, r.min_timestamp, r.max_timestamp, r.source_doi, r.excluded, r.final_version) for r in rows["series"].collect()}
+    assert series == {("s1", 1): (1, "t1", "t1", "doi1", False, 1), ("s1", 2): (2, "t1", "t2", "doi1", False, 0), ("s9", 2): (1, "t3", "t3", "doi9", False, 0),
+                      ("s2", 1): (1, "t1", "t1", "doi2", False, 0)}
+    colls = {(r.c, r.rev_version): (r.collection_id, r.init_version, r.final_version, r.max_timestamp, r.hashes.all) for r in rows["collection"].collect()}
+    # the renamed one: a revised row with the same hash, first version and children
+    assert colls["c2", 2] == ("second", 1, 0, "t1", colls["c2", 1][4]) and colls["c2", 1][:3] == ("Two", 1, 1)
+    assert colls["c1", 2][:4] == ("One", 1, 0, "t3")
+    version = rows["version"].first()
+    assert (version.min_timestamp, version.max_timestamp) == ("t1", "t3")
+    renamed = {r.uuid for r in rows["collection"].filter("c = 'c2' AND rev_version = 2").collect()}
+    child = {r.uuid for r in rows["series"].filter("s = 's2'").collect()}
+    assert {(r.collection_uuid, r.series_uuid) for r in edges["collection_series"].collect()} >= {(a, b) for a in renamed for b in child}
+
+
+def _announce(rows):
+    return {n: rows[n].filter("final_version = 0").select(*[k for _, k in _PATH3[:d + 1]], "hashes", "sources") for d, (n, _) in enumerate(_PATH3[:-1])}
+
+
+def test_pruned_build_and_announced_hashes(spark):
+    one = _offer(spark, *((c, f"{c}.{s}", f"{c}.{s}.{i}", f"h{c}{s}{i}", "t1") for c in ("c1", "c2", "c3") for s in range(2) for i in range(2)))
+    first, _ = L.build_version(_full_levels(spark), one, _PATH3, 1)
+    two = one.filter("i <> 'c2.1.0'").withColumn("hashes", F.when(F.col("i") == "c1.0.0", F.struct(F.lit("new").alias("src_a"), F.lit("").alias("src_b"))).otherwise(F.col("hashes")))
+    whole, whole_edges = L.build_version(first, two, _PATH3, 2)
+    announced = _announce(whole)
+    front = L.changed_parents(first, announced, _PATH3, settle)
+    assert sorted(r.s for r in front.collect()) == ["c1.0", "c2.1"]
+    # below unchanged parents the offer is not looked at: wrong rows there make no difference
+    beside = two.withColumn("hashes", F.when(F.col("c") == "c3", F.struct(F.lit("x").alias("src_a"), F.lit("").alias("src_b"))).otherwise(F.col("hashes")))
+    pruned, edges = L.build_version(first, beside, _PATH3, 2, announced=announced)
+    for n, _ in _PATH3:
+        assert as_set(pruned[n].select(F.to_json(F.struct(*sorted(pruned[n].columns))))) == as_set(whole[n].select(F.to_json(F.struct(*sorted(pruned[n].columns)))))
+    for n, e in whole_edges.items():
+        assert as_set(e) == as_set(edges[n].select(*e.columns))
+    lie = announced["series"].withColumn("hashes", F.when(F.col("s") == "c1.0", F.struct(F.lit("no").alias("src_a"), F.lit("").alias("src_b"), F.lit("no").alias("all"))).otherwise(F.col("hashes")))
+    with pytest.raises(L.BuildError, match="series: 1 rows"):
+        L.build_version(first, two, _PATH3, 2, announced={**announced, "series": lie})

@@ -8,13 +8,15 @@ when one parent holds most of the objects.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vcat.functions.exprs import LIVE, SOURCES, uuid_of
 from vcat.functions.merkle import EMPTY_MD5, merkle_by_source, merkle_rollup
+from vcat.sources.publish import settle
 
 
 def _any(cols) -> Column:
@@ -426,37 +428,116 @@ def maintain_ids(id_map: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.select("name", "id").unionByName(added)
 
 
+#: Aggregates that a level has of its children: the column, and the children's column it sums (none: their number).
+COUNTS = {"series": ("series_instances", None), "study": ("study_instances", "series_instances")}
+
+
+def aggregates_of(kids: DataFrame, keys: list[str], parent: str) -> DataFrame:
+    """What parents have of their children besides hashes, in one pass: sources, and of number, newest and oldest timestamp what the children can tell.
+    The lowest level has one ``timestamp``, those above ``min_timestamp`` and ``max_timestamp``."""
+    out = [F.struct(*[F.bool_or(F.col(f"sources.{s}")).alias(s) for s in SOURCES]).alias("sources")]
+    high, low = ("max_timestamp", "min_timestamp") if "max_timestamp" in kids.columns else ("timestamp", "timestamp")
+    if high in kids.columns:
+        out += [F.max(high).alias("max_timestamp"), F.min(low).alias("min_timestamp")]
+    if parent in COUNTS:
+        name, summed = COUNTS[parent]
+        if summed is None:
+            out.append(F.count("*").alias(name))
+        elif summed in kids.columns:
+            out.append(F.sum(summed).alias(name))
+    return kids.groupBy(*keys).agg(*out)
+
+
+class BuildError(ValueError):
+    """A build that does not agree with what the sources announced."""
+
+
+def written(df: DataFrame, level: str, settle: Callable, **bad: Column) -> DataFrame:
+    """``df``, settled. Rows that are ``bad`` are counted while it is written, with no further scan, and stop the build."""
+    seen = Observation()
+    out = settle(df.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in bad.items()]))
+    found = {n: k for n, k in seen.get.items() if k}
+    if found:
+        raise BuildError(f"{level}: " + ", ".join(f"{k} rows with {n.replace('_', ' ')}" for n, k in found.items()))
+    return out
+
+
+def changed_parents(levels: dict[str, DataFrame], announced: dict[str, DataFrame], path: list[tuple[str, str]], settle: Callable) -> DataFrame:
+    """Keys of the objects right above the lowest level that are new, gone or have another hash at a source: a descent that compares a level only below
+    what differs in the one above. ``announced``: keys, ``hashes`` and ``sources`` of every level above the lowest, as the sources tell them."""
+    keys, front = [k for _, k in path], None
+    for i, (name, _) in enumerate(path[:-1]):
+        sides = [levels[name].filter(F.col("final_version") == LIVE), announced[name]]
+        if front is not None:
+            sides = [d.join(front, keys[:i], "left_semi") for d in sides]
+        front = settle(classify(*sides, keys[:i + 1]).filter("status <> 'unchanged'").select(*keys[:i + 1]))
+    return front
+
+
 def build_version(levels: dict[str, DataFrame], offered: DataFrame, path: list[tuple[str, str]], version: int, skip: DataFrame | None = None,
-                  skip_key: list[str] | None = None, settle=lambda df: df) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+                  skip_key: list[str] | None = None, settle: Callable = settle, attributes: dict[str, DataFrame] | None = None,
+                  names: dict[str, str] | None = None, announced: dict[str, DataFrame] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """A release from the one before: (rows of all levels and of the version, edges added).
 
     path: (level, key column) from the top down; a level holds the key columns of all levels above it. ``offered``: what
-    the sources hold of the lowest level, with ``hashes``, ``sources`` and any attributes. Levels above get hashes and sources from
+    the sources hold of the lowest level, with ``hashes``, ``sources`` and any attributes. Levels above get hashes, sources, timestamps and numbers from
     their children as they are after the build; only parents of changed children are rolled up, the others keep what is
-    stored. ``settle`` is called on each level's result, so that levels above read it and don't compute it again.
+    stored. ``attributes``: by level, its keys and what else the sources say of its objects (names, DOIs), which new and revised ones take. ``names``: by level, the
+    attribute that is a name; an object with another name is revised though its hash is not. ``settle`` writes each level's result, so that levels above read it and
+    don't compute it again.
+
+    ``announced``: what the sources tell of the levels above the lowest (keys, ``hashes``, ``sources``). With it only the lowest objects below
+    what differs are looked at, and a roll-up that is not the announced one, at a source that is not skipped, stops the build (``BuildError``).
     """
-    names, keys = [n for n, _ in path], [k for _, k in path]
+    all_names, keys = [n for n, _ in path], [k for _, k in path]
+    attributes, names, announced = attributes or {}, names or {}, announced or {}
     rows, edges, offer = {}, {}, offered
+    front = changed_parents(levels, announced, path, settle) if announced else None
     for i in range(len(path) - 1, -1, -1):
-        name, key, lowest = names[i], keys[:i + 1], i == len(path) - 1
+        name, key, lowest = all_names[i], keys[:i + 1], i == len(path) - 1
         live = levels[name].filter(F.col("final_version") == LIVE)
-        status = settle(classify(live, offer, key, skip if lowest else None, skip_key))
-        rows[name] = settle(apply_version(levels[name], status, key, name, version, offered if lowest else None))
+        if lowest and front is not None:
+            live, offer = (d.join(front, keys[:i], "left_semi") for d in (live, offer))
+        if name in attributes:
+            offer = offer.join(attributes[name], key, "left")
+        called = names.get(name)
+        if called:
+            was = live.select(*key, F.col(called).alias("_was"))
+            told = F.col(called) if called in offer.columns else F.lit(None).cast("string")
+            offer = offer.join(was, key, "left").withColumn(called, F.coalesce(told, "_was")).drop("_was")
+        if name in announced and not lowest:
+            offer = _agreed(offer, announced[name], key, skip, skip_key, name, settle)
+        status = settle(classify(live, offer, key, skip if lowest else None, skip_key, called))
+        rows[name] = settle(apply_version(levels[name], status, key, name, version, offer))
         if not lowest:
-            edges[f"{name}_{names[i + 1]}"] = next_edges(rows[name], rows[names[i + 1]], key, name, names[i + 1], version)
+            edges[f"{name}_{all_names[i + 1]}"] = next_edges(rows[name], rows[all_names[i + 1]], key, name, all_names[i + 1], version)
         now = rows[name].filter(F.col("final_version") == LIVE)
         whole = "hashes.all" if "all" in now.schema["hashes"].dataType.names else F.concat(*[F.col(f"hashes.{x}") for x in SOURCES])
         slots = {**{x: F.col(f"hashes.{x}") for x in SOURCES}, "all": F.col(whole) if isinstance(whole, str) else whole}
         if i:
-            up = keys[:i]
+            up, parent = keys[:i], all_names[i - 1]
             touched = status.filter("status <> 'unchanged'").select(*up).distinct()
             kids = now.join(touched, up, "left_semi")
-            built = merkle_by_source(kids, up, slots, tiebreak=[keys[i]]).join(sources_of(kids, up), up)
-            stored = levels[names[i - 1]].filter(F.col("final_version") == LIVE).join(touched, up, "left_anti")
-            offer = built.select(*up, "hashes", "sources").unionByName(stored.select(*up, "hashes", "sources"))
+            built = merkle_by_source(kids, up, slots, tiebreak=[keys[i]]).join(aggregates_of(kids, up, parent), up)
+            built = built.select(*[c for c in built.columns if c in ("hashes", "sources") or c in levels[parent].columns])
+            stored = levels[parent].filter(F.col("final_version") == LIVE).join(touched, up, "left_anti")
+            offer = built.unionByName(stored.select(*up, "hashes", "sources"), allowMissingColumns=True)
         else:
             edges[f"version_{name}"] = now.select(F.lit(version).alias("version"), F.col("uuid").alias(f"{name}_uuid"))
             one = now.withColumn("version", F.lit(version))
-            rows["version"] = merkle_by_source(one, ["version"], slots, tiebreak=[keys[0]]).join(sources_of(one, ["version"]), "version").withColumn(
+            rows["version"] = merkle_by_source(one, ["version"], slots, tiebreak=[keys[0]]).join(aggregates_of(one, ["version"], "version"), "version").withColumn(
                 "previous_version", F.lit(version - 1))
     return rows, edges
+
+
+def _agreed(offer: DataFrame, announced: DataFrame, key: list[str], skip: DataFrame | None, skip_key: list[str] | None, level: str, settle: Callable) -> DataFrame:
+    """Roll-ups, unless one is not what the sources announced. With objects skipped below a level, nothing announced for it has to come out."""
+    told = offer.join(announced.select(*key, F.col("hashes").alias("_told")), key, "left")
+    held = dict.fromkeys(SOURCES, F.lit(False))
+    if skip is not None:
+        if not set(skip_key) <= set(key):
+            return offer
+        told = told.join(skip.select(*skip_key, F.col("skipped").alias("_held")), skip_key, "left")
+        held = {s: F.coalesce(F.col(f"_held.{s}"), F.lit(False)) for s in SOURCES}
+    wrong = _any([~same_hash(F.col(f"hashes.{s}"), F.col(f"_told.{s}")) & ~held[s] for s in SOURCES])
+    return written(told, level, settle, another_hash_than_announced=F.col("_told").isNotNull() & wrong).select(*offer.columns)

@@ -436,29 +436,46 @@ def build(spark, sf):
 _PATH = [("collection", "n_regionkey"), ("patient", "c_nationkey"), ("study", "o_custkey"), ("series", "l_orderkey"), ("instance", "sop")]
 
 
-def _offered_path(spark, sf, v):
-    """What the sources offer, with the keys of all levels above."""
+def _above(spark, sf):
+    """Keys of all levels above an instance."""
     o, c, n = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
-    above = o.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
+    return o.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey", "n_regionkey")
-    return offered(spark, sf, v).join(above, "l_orderkey")
+
+
+def _offered_path(spark, sf, v):
+    """What the sources offer, with the keys of all levels above and the time of the release."""
+    return offered(spark, sf, v).join(_above(spark, sf), "l_orderkey").withColumn("timestamp", F.expr(fx.ts_sql(str(v))))
+
+
+def _attributes(spark, sf, v):
+    """What the sources say of collections and series: every other collection changes its name in the second release, and all series their versioned DOI."""
+    r = table(spark, sf, "region")
+    name = F.when((F.col("r_regionkey") % 2 == 1) & F.lit(v == 2), F.lower("r_name")).otherwise(F.col("r_name"))
+    doi = F.concat(F.lit("10.5281/d."), F.col("l_orderkey") % 40)
+    series = _above(spark, sf).select("n_regionkey", "c_nationkey", "o_custkey", "l_orderkey", doi.alias("source_doi"), F.concat(doi, F.lit(f".v{v}")).alias("versioned_source_doi"))
+    return {"collection": r.select(F.col("r_regionkey").alias("n_regionkey"), name.alias("collection_id")), "series": series}
 
 
 def _nothing(spark):
     """Levels before the first release."""
     out = {}
+    stamps = ", min_timestamp timestamp_ntz, max_timestamp timestamp_ntz"
+    more = {"collection": stamps + ", collection_id string", "patient": stamps, "study": stamps + ", study_instances bigint",
+            "series": stamps + ", series_instances bigint, source_doi string, versioned_source_doi string", "instance": ", timestamp timestamp_ntz"}
     for i, (name, _) in enumerate(_PATH):
         keys = ", ".join(f"{k} {'string' if k == 'sop' else 'bigint'}" for _, k in _PATH[:i + 1])
         hashes = "src_a: string, src_b: string" + ("" if name == "instance" else ", all: string")
         out[name] = spark.createDataFrame([], f"{keys}, uuid string, hashes struct<{hashes}>, sources struct<src_a: boolean, src_b: boolean>, "
-                                              "init_version int, rev_version int, final_version int")
+                                              f"init_version int, rev_version int, final_version int{more[name]}")
     return out
 
 
 def built(spark, sf):
     """Two releases, each built from the one before."""
-    first, _ = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, settle=settle)
-    return L.build_version(first, _offered_path(spark, sf, 2), _PATH, 2, settle=settle)
+    args = {"settle": settle, "names": {"collection": "collection_id"}}
+    first, _ = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, attributes=_attributes(spark, sf, 1), **args)
+    return L.build_version(first, _offered_path(spark, sf, 2), _PATH, 2, attributes=_attributes(spark, sf, 2), **args)
 
 
 def _rows_sql(level, a, b, key="id"):
@@ -471,21 +488,58 @@ _BUILT = (", lv AS (SELECT 'instance' AS level, sop AS id, CASE WHEN p1 THEN " +
   UNION ALL SELECT level, id, CASE WHEN h1 IS NULL THEN 2 ELSE 1 END, 2, 0, h2 FROM lv WHERE h2 IS NOT NULL AND (h1 IS NULL OR h1 <> h2))""")
 
 
-@query("v_build_rows", with_("items", extra=_S12 + _CUM + _BUILT) + "SELECT * FROM ro UNION ALL SELECT 'version', '2', NULL, NULL, NULL, md5(string_agg(hash, '' ORDER BY hash)) FROM c2")
+def _stats_sql(v):
+    """Numbers and the newest and oldest release of the instances below every object at release v."""
+    up = "JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"
+    per = [("instance", "sop", "NULL"), ("series", "l_orderkey", "count(*)"), ("study", "o_custkey", "count(*)"), ("patient", "c_nationkey", "NULL"), ("collection", "n_regionkey", "NULL")]
+    rows = " UNION ALL ".join(f"SELECT '{lv}' AS level, CAST({k} AS VARCHAR) AS id, CAST({n} AS BIGINT) AS n, max(i_rev) AS hi, min(i_rev) AS lo FROM a{v} GROUP BY {k}" for lv, k, n in per)
+    return f"a{v} AS (SELECT * FROM inst {up} WHERE i_rev <= {v} AND ({v} <= i_final OR i_final = 0)),\nst{v} AS ({rows})"
+
+
+_TS = "CASE WHEN {c} = 1 THEN '2021-02-03 04:05:06' WHEN {c} = 2 THEN '2022-03-04 05:06:07' END"
+_ATTRIBUTES = (",\n" + _stats_sql(1) + ",\n" + _stats_sql(2) + ",\nst AS (SELECT 1 AS v, * FROM st1 UNION ALL SELECT 2, * FROM st2)")
+
+
+@query("v_build_rows", with_("inst", extra=_S12 + _CUM + _BUILT + _ATTRIBUTES) + f"""SELECT ro.*, st.n AS n_instances, {_TS.format(c='st.hi')} AS max_timestamp, {_TS.format(c='st.lo')} AS min_timestamp,
+  CASE WHEN ro.level = 'collection' THEN (SELECT CASE WHEN r_regionkey % 2 = 1 AND rev_version = 2 THEN lower(r_name) ELSE r_name END FROM region WHERE CAST(r_regionkey AS VARCHAR) = ro.id) END AS collection_id,
+  CASE WHEN ro.level = 'series' THEN '10.5281/d.' || (CAST(ro.id AS BIGINT) % 40) || '.v' || rev_version END AS versioned_source_doi
+FROM ro JOIN st ON st.level = ro.level AND st.id = ro.id AND st.v = rev_version
+UNION ALL SELECT 'version', '2', NULL, NULL, NULL, (SELECT md5(string_agg(hash, '' ORDER BY hash)) FROM c2), NULL, {_TS.format(c='max(i_rev)')}, {_TS.format(c='min(i_rev)')}, NULL, NULL FROM a2""")
 def build_rows(spark, sf):
+    """Every row of all levels with what it has of its children and of the sources."""
     rows, _ = built(spark, sf)
-    parts = [rows[name].select(F.lit(name).alias("level"), F.col(key).cast("string").alias("id"), "init_version", "rev_version", "final_version",
-                               (F.col("hashes.all") if name != "instance" else F.concat("hashes.src_a", "hashes.src_b")).alias("hash")) for name, key in _PATH]
-    none = [F.lit(None).cast("int").alias(c) for c in ("init_version", "rev_version", "final_version")]
-    parts.append(rows["version"].select(F.lit("version").alias("level"), F.col("version").cast("string").alias("id"), *none, F.col("hashes.all").alias("hash")))
+    told = lambda d, c: (F.col(c) if c in d.columns else F.lit(None)).cast("string").alias(c)
+
+    def shown(name, d, key, whole, *spans):
+        high, low = ("timestamp", "timestamp") if name == "instance" else ("max_timestamp", "min_timestamp")
+        n = [c for c in d.columns if c in ("series_instances", "study_instances")]
+        return d.select(F.lit(name).alias("level"), F.col(key).cast("string").alias("id"), *spans, whole.alias("hash"), (F.col(n[0]) if n else F.lit(None)).cast("long").alias("n_instances"),
+                        F.date_format(high, "yyyy-MM-dd HH:mm:ss").alias("max_timestamp"), F.date_format(low, "yyyy-MM-dd HH:mm:ss").alias("min_timestamp"),
+                        told(d, "collection_id"), told(d, "versioned_source_doi"))
+
+    spans = ["init_version", "rev_version", "final_version"]
+    parts = [shown(name, rows[name], key, F.col("hashes.all") if name != "instance" else F.concat("hashes.src_a", "hashes.src_b"), *spans) for name, key in _PATH]
+    parts.append(shown("version", rows["version"], "version", F.col("hashes.all"), *[F.lit(None).cast("int").alias(c) for c in spans]))
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("v_build_edges", with_("items", extra=_S12 + _CUM + _BUILT) + """SELECT 'series_instance' AS edge, CAST(count(*) AS BIGINT) AS n FROM items JOIN ro ON level = 'series' AND rev_version = 2 AND id = CAST(l_orderkey AS VARCHAR) WHERE p2
-UNION ALL SELECT 'study_series', count(*) FROM s2 JOIN orders ON o_orderkey = l_orderkey JOIN ro ON level = 'study' AND rev_version = 2 AND ro.id = CAST(o_custkey AS VARCHAR)
-UNION ALL SELECT 'patient_study', count(*) FROM t2 JOIN customer ON c_custkey = t2.id JOIN ro ON level = 'patient' AND rev_version = 2 AND ro.id = CAST(c_nationkey AS VARCHAR)
-UNION ALL SELECT 'collection_patient', count(*) FROM p2 JOIN nation ON n_nationkey = p2.id JOIN ro ON level = 'collection' AND rev_version = 2 AND ro.id = CAST(n_regionkey AS VARCHAR)
-UNION ALL SELECT 'version_collection', count(*) FROM c2""")
+_PATHS = [("collection", "CAST(n_regionkey AS VARCHAR)", "''"), ("patient", "n_regionkey || '|' || c_nationkey", "CAST(n_regionkey AS VARCHAR)"),
+          ("study", "n_regionkey || '|' || c_nationkey || '|' || o_custkey", "n_regionkey || '|' || c_nationkey"),
+          ("series", "n_regionkey || '|' || c_nationkey || '|' || o_custkey || '|' || o_orderkey", "n_regionkey || '|' || c_nationkey || '|' || o_custkey"),
+          ("instance", "n_regionkey || '|' || c_nationkey || '|' || o_custkey || '|' || o_orderkey || '|' || sop", "n_regionkey || '|' || c_nationkey || '|' || o_custkey || '|' || o_orderkey")]
+_NODES = "up AS (SELECT * FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),\nnodes AS (" + " UNION ALL ".join(
+    f"SELECT DISTINCT '{lv}' AS level, CAST({dict(_PATH)[lv].replace('l_orderkey', 'o_orderkey')} AS VARCHAR) AS id, {p} AS path, {q} AS parent FROM up" + (" JOIN items ON l_orderkey = o_orderkey" if lv == "instance" else "")
+    for lv, p, q in _PATHS) + "),\nrows_ AS (SELECT ro.*, path, parent FROM ro JOIN nodes ON nodes.level = ro.level AND nodes.id = ro.id)"
+
+
+def _node_uuid(a: str) -> str:
+    return uuid("x", f"{a}.path", f"{a}.rev_version").replace("'x|'", f"{a}.level || '|'")
+
+
+@query("v_build_edges", with_("items", extra=_S12 + _CUM + _BUILT + ",\n" + _NODES) + f"""SELECT p.level || '_' || c.level AS edge, {_node_uuid('p')} AS parent, {_node_uuid('c')} AS child
+FROM rows_ p JOIN rows_ c ON c.parent = p.path AND c.final_version = 0 AND (p.level, c.level) IN (('collection', 'patient'), ('patient', 'study'), ('study', 'series'), ('series', 'instance'))
+WHERE p.rev_version = 2
+UNION ALL SELECT 'version_collection', '2', {_node_uuid('c')} FROM rows_ c WHERE level = 'collection' AND final_version = 0""")
 def build_edges(spark, sf):
     _, edges = built(spark, sf)
-    return reduce(DataFrame.unionByName, [e.agg(F.count("*").alias("n")).select(F.lit(name).alias("edge"), "n") for name, e in edges.items()])
+    return reduce(DataFrame.unionByName, [e.select(F.lit(name).alias("edge"), F.col(e.columns[0]).cast("string").alias("parent"), F.col(e.columns[1]).alias("child")) for name, e in edges.items()])
