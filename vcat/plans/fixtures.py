@@ -198,16 +198,19 @@ def _edges(spark, sf) -> dict[str, DataFrame]:
 
 
 def redactions(spark, sf) -> DataFrame:
-    """Withdrawn instances with the uuids and lifespans of instance, series and study."""
+    """Withdrawn instances at every version that holds them, with the uuids and lifespans of all levels."""
     at = ", ".join(f"CASE WHEN {_alive(v)} THEN {v} END" for v in range(1, LAST + 1))
     i = instance_versions(spark, sf).filter("red").selectExpr("*", f"explode(filter(array({at}), x -> x IS NOT NULL)) AS _v")
     rev = _series_rev("l_orderkey")("_v")
-    up = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    up = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(
+        table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select("o_orderkey", "o_custkey", "c_nationkey", "n_regionkey")
+    above = [x for p, level, key in (("st", "study", "o_custkey"), ("p", "patient", "c_nationkey"), ("c", "collection", "n_regionkey"))
+             for x in (f"{uuid_sql(level, key, '_v')} AS {p}_uuid", f"_v AS {p}_rev_version", f"CASE WHEN _v < {LAST} THEN _v ELSE 0 END AS {p}_final_version")]
     return i.join(up, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         f"{uuid_sql('instance', 'sop', 'rev_version')} AS i_uuid", "rev_version AS i_rev_version", "final_version AS i_final_version",
         f"{uuid_sql('series', 'l_orderkey', rev)} AS se_uuid", f"{rev} AS se_rev_version",
         f"CASE WHEN l_orderkey % 10 = 3 THEN 1 WHEN l_orderkey % 10 IN (1, 5) AND {rev} = 1 THEN 1 ELSE 0 END AS se_final_version",
-        f"{uuid_sql('study', 'o_custkey', '_v')} AS st_uuid")
+        *above, "_v AS version")
 
 
 # --- lookups (40 DOIs) ----------------------------------------------------------------------------

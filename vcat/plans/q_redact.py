@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from vcat.functions.exprs import alive_at, touched_by
 from vcat.operators import redact as R
+from vcat.operators.flatten import all_flattened
 from vcat.operators.validate import missing_count
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import merkle, uuid, with_
 from vcat.plans.q_flatten import flat, joined
 from vcat.plans.registry import query
+from vcat.sources.publish import scratch_dir
 
 _RED = """red_rows AS (SELECT DISTINCT i_uuid, se_uuid, st_uuid, p_uuid, c_uuid, i_rev, i_final, se_rev, se_final, up_rev, up_final,
   pub_gcs_bucket, pub_aws_bucket, series_instance_uid, sop_instance_uid FROM joined WHERE red)"""
@@ -46,52 +48,71 @@ def m1(spark, sf):
     return out.select("uuid", "redacted", "mitigation")
 
 
-def marked(spark, sf):
-    return R.mark(fx.levels(spark, sf)["instance"], light(spark, sf), 2, "m1")
+def withdrawn(spark, sf):
+    """All levels after the withdrawal, stored once."""
+    levels = {}
 
+    def all_levels(name):
+        if not levels:
+            levels.update(R.withdraw(fx.levels(spark, sf), fx.edges(spark, sf), light(spark, sf), 2, "m1"))
+        return levels[name]
 
-def redacted_series(spark, sf):
-    ser = fx.levels(spark, sf)["series"].withColumn("mitigation", F.lit(None).cast("string"))
-    return R.redact_level(ser, fx.edges(spark, sf)["series_instance"], marked(spark, sf), light(spark, sf), 2,
-                          ("series", "instance"), ("se", "i"), "m1")
+    return {name: fx.stored(spark, sf, f"withdrawn.{name}", lambda n=name: all_levels(n)) for name, _ in R.UPWARD}
 
 
 # a series and its instances are linked where both are alive in one of the two versions
-_SM = f"""alive_s AS (SELECT v, ser.* FROM ser JOIN (VALUES (1), (2)) t(v) ON se_rev <= v AND (v <= se_final OR se_final = 0)),
-alive_i AS (SELECT v, inst.* FROM inst JOIN (VALUES (1), (2)) t(v) ON i_rev <= v AND (v <= i_final OR i_final = 0)),
-pairs AS (SELECT DISTINCT s.* EXCLUDE (v), i.i_uuid, i.hash AS ihash, i.red FROM alive_s s JOIN alive_i i ON l_orderkey = o_orderkey AND s.v = i.v),
-hit AS (SELECT se_uuid, bool_and(red) AS red, {merkle("CASE WHEN red THEN '' ELSE ihash END")} AS h FROM pairs GROUP BY 1 HAVING bool_or(red)),
-sm AS (SELECT ser.*, coalesce(hit.red, false) AS red, hit.se_uuid IS NOT NULL AS hit,
-  CASE WHEN hit.se_uuid IS NULL THEN md5('series|' || o_orderkey || '|' || se_rev) WHEN o_orderkey % 2 = 0 THEN hit.h ELSE '' END AS src_a,
-  CASE WHEN hit.se_uuid IS NULL THEN md5(md5('series|' || o_orderkey || '|' || se_rev)) WHEN o_orderkey % 2 = 1 THEN hit.h ELSE '' END AS src_b,
-  CASE WHEN hit.se_uuid IS NULL THEN md5(md5(md5('series|' || o_orderkey || '|' || se_rev))) ELSE hit.h END AS all_hash
-  FROM ser LEFT JOIN hit ON hit.se_uuid = ser.se_uuid)"""
+_SM = f"""hit AS (SELECT o_orderkey AS k, se_rev AS r, bool_and(red) AS red, {merkle("CASE WHEN red THEN '' ELSE hash END")} AS h FROM (
+    SELECT DISTINCT o_orderkey, se_rev, sop, i_rev, hash, red FROM ser JOIN inst ON l_orderkey = o_orderkey
+    WHERE (se_rev <= 1 AND (1 <= se_final OR se_final = 0) AND i_rev <= 1 AND (1 <= i_final OR i_final = 0)) OR (se_rev <= 2 AND (2 <= se_final OR se_final = 0) AND i_rev <= 2 AND (2 <= i_final OR i_final = 0)))
+  GROUP BY 1, 2 HAVING bool_or(red)),
+sm AS (SELECT o_orderkey, o_custkey, se_rev, se_final, se_uuid, coalesce(hit.red, false) AS red, hit.k IS NOT NULL AS hit,
+  CASE WHEN hit.k IS NULL THEN md5('series|' || o_orderkey || '|' || se_rev) WHEN o_orderkey % 2 = 0 THEN hit.h ELSE '' END AS src_a,
+  CASE WHEN hit.k IS NULL THEN md5(md5('series|' || o_orderkey || '|' || se_rev)) WHEN o_orderkey % 2 = 1 THEN hit.h ELSE '' END AS src_b,
+  CASE WHEN hit.k IS NULL THEN md5(md5(md5('series|' || o_orderkey || '|' || se_rev))) ELSE hit.h END AS all_hash
+  FROM ser LEFT JOIN hit ON hit.k = o_orderkey AND r = se_rev)"""
 
 
 @query("m2_series_rollup", with_("inst", "ser", extra=_SM) + "SELECT se_uuid AS uuid, red AS redacted, src_a, src_b, all_hash, CASE WHEN hit THEN 'm1' END AS mitigation FROM sm")
 def m2(spark, sf):
-    return redacted_series(spark, sf).select("uuid", "redacted", "hashes.src_a", "hashes.src_b", F.col("hashes.all").alias("all_hash"), "mitigation")
+    out = R.withdraw(fx.levels(spark, sf), fx.edges(spark, sf), light(spark, sf), 2, "m1", "series")["series"]
+    return out.select("uuid", "redacted", "hashes.src_a", "hashes.src_b", F.col("hashes.all").alias("all_hash"), "mitigation")
 
 
 def _slot(s):
     return merkle(f"CASE WHEN red THEN '' ELSE {s} END")
 
 
-_ST = f"""links AS (SELECT o_custkey, v, sm.* EXCLUDE (o_custkey) FROM sm, (VALUES (1), (2)) t(v) WHERE se_rev <= v AND (v <= se_final OR se_final = 0)),
-shit AS (SELECT o_custkey AS c, v AS rv, bool_and(red) AS red, {_slot('src_a')} AS src_a, {_slot('src_b')} AS src_b, {_slot('all_hash')} AS all_hash
-  FROM links GROUP BY 1, 2 HAVING bool_or(hit))"""
+def _level_sql(out, level, kids, parent, base, key, names):
+    """Rows of a level at each version: rolled up where a child was hit, as stored elsewhere."""
+    own = f"md5('{level}|' || " + (f"{key} || '|' || v)" if level != "version" else "v)")
+    return f"""{out}_hit AS (SELECT {parent} AS k, v AS kv, bool_and(red) AS red, {_slot('src_a')} AS src_a, {_slot('src_b')} AS src_b, {_slot('all_hash')} AS all_hash FROM {kids} GROUP BY 1, 2 HAVING bool_or(hit)),
+{out} AS (SELECT {names}, v, k IS NOT NULL AS hit, coalesce(red, false) AS red, CASE WHEN k IS NULL THEN {own} ELSE src_a END AS src_a,
+  CASE WHEN k IS NULL THEN md5({own}) ELSE src_b END AS src_b, CASE WHEN k IS NULL THEN md5(md5({own})) ELSE all_hash END AS all_hash
+  FROM {base} LEFT JOIN {out}_hit ON k = {key} AND kv = v)"""
 
 
-@query("m3_study_rollup", with_("inst", "ser", extra=_SM + ",\n" + _ST) + f"""SELECT {uuid('study', 'c_custkey', 'v')} AS uuid, coalesce(red, false) AS redacted,
-  CASE WHEN c IS NULL THEN md5('study|' || c_custkey || '|' || v) ELSE src_a END AS src_a,
-  CASE WHEN c IS NULL THEN md5(md5('study|' || c_custkey || '|' || v)) ELSE src_b END AS src_b,
-  CASE WHEN c IS NULL THEN md5(md5(md5('study|' || c_custkey || '|' || v))) ELSE all_hash END AS all_hash
-FROM customer CROSS JOIN (VALUES (1), (2)) t(v) LEFT JOIN shit ON c = c_custkey AND rv = v""")
+_ST = ("links AS (SELECT v, sm.* FROM sm, (VALUES (1), (2)) t(v) WHERE se_rev <= v AND (v <= se_final OR se_final = 0)),\n"
+       + _level_sql("strows", "study", "links", "o_custkey", "customer CROSS JOIN (VALUES (1), (2)) t(v)", "c_custkey", "c_custkey, c_nationkey"))
+_UP = ",\n".join([_ST, _level_sql("prows", "patient", "strows", "c_nationkey", "nation CROSS JOIN (VALUES (1), (2)) t(v)", "n_nationkey", "n_nationkey, n_regionkey"),
+                  _level_sql("crows", "collection", "prows", "n_regionkey", "region CROSS JOIN (VALUES (1), (2)) t(v)", "r_regionkey", "r_regionkey, 0 AS whole"),
+                  _level_sql("vrows", "version", "crows", "whole", "(VALUES (0, 1), (0, 2)) t(w, v)", "w", "w")])
+_SHOWN = "red AS redacted, src_a, src_b, all_hash"
+
+
+@query("m3_study_rollup", with_("inst", "ser", extra=_SM + ",\n" + _ST) + f"SELECT {uuid('study', 'c_custkey', 'v')} AS uuid, {_SHOWN} FROM strows")
 def m3(spark, sf):
-    st = fx.levels(spark, sf)["study"]
-    out = R.redact_level(st, fx.edges(spark, sf)["study_series"], redacted_series(spark, sf), light(spark, sf), 2,
-                         ("study", "series"), ("st", "se"), "m1")
-    return out.select("uuid", "redacted", "hashes.src_a", "hashes.src_b", F.col("hashes.all").alias("all_hash"))
+    return withdrawn(spark, sf)["study"].select("uuid", "redacted", "hashes.src_a", "hashes.src_b", F.col("hashes.all").alias("all_hash"))
+
+
+@query("m3_upper_rollups", with_("inst", "ser", extra=_SM + ",\n" + _UP) + f"""SELECT 'patient' AS level, {uuid('patient', 'n_nationkey', 'v')} AS id, {_SHOWN} FROM prows
+UNION ALL SELECT 'collection', {uuid('collection', 'r_regionkey', 'v')}, {_SHOWN} FROM crows UNION ALL SELECT 'version', CAST(v AS VARCHAR), false, src_a, src_b, all_hash FROM vrows""")
+def m3_upper(spark, sf):
+    out = withdrawn(spark, sf)
+    parts = []
+    for name in ("patient", "collection", "version"):
+        key, red = ("version", F.lit(False)) if name == "version" else ("uuid", F.col("redacted"))
+        parts.append(out[name].select(F.lit(name).alias("level"), F.col(key).cast("string").alias("id"), red.alias("redacted"), "hashes.src_a", "hashes.src_b", F.col("hashes.all").alias("all_hash")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("m4_stack_rollup", with_("items") + f"""SELECT 'se.' || l_orderkey AS series_instance_uid, bool_and(red) AS redacted, {merkle("CASE WHEN red THEN '' ELSE h END")} AS hash
@@ -103,32 +124,40 @@ def m4(spark, sf):
     return R.redact_stack(st["series"], kids, "series_instance_uid", "sop_instance_uid").select("series_instance_uid", "redacted", "hash")
 
 
-_P = """SELECT DISTINCT version, collection_id, md5(md5(md5('collection|' || r_regionkey || '|' || up_rev))) AS collection_hash, submitter_case_id,
-  md5(md5(md5('patient|' || n_nationkey || '|' || up_rev))) AS patient_hash, study_instance_uid, md5(md5(md5('study|' || c_custkey || '|' || up_rev))) AS study_hash,
-  CASE WHEN o_orderkey % 100 = 40 THEN '' ELSE series_instance_uid END AS series_instance_uid,
-  CASE WHEN o_orderkey % 100 = 40 THEN '' ELSE md5(md5(md5('series|' || o_orderkey || '|' || se_rev))) END AS series_hash FROM flat WHERE red"""
+_P = """SELECT DISTINCT version, CASE WHEN c.all_hash = '' THEN '' ELSE collection_id END AS collection_id, c.all_hash AS collection_hash, up_rev AS c_rev_version, up_final AS c_final_version,
+  CASE WHEN p.all_hash = '' THEN '' ELSE submitter_case_id END AS submitter_case_id, p.all_hash AS patient_hash, up_rev AS p_rev_version, up_final AS p_final_version,
+  CASE WHEN st.all_hash = '' THEN '' ELSE study_instance_uid END AS study_instance_uid, st.all_hash AS study_hash, up_rev AS st_rev_version, up_final AS st_final_version,
+  CASE WHEN sm.all_hash = '' THEN '' ELSE series_instance_uid END AS series_instance_uid, sm.all_hash AS series_hash, flat.se_rev AS se_rev_version, flat.se_final AS se_final_version
+FROM flat JOIN sm ON sm.o_orderkey = flat.o_orderkey AND sm.se_rev = flat.se_rev JOIN strows st ON st.c_custkey = flat.c_custkey AND st.v = version
+JOIN prows p ON p.n_nationkey = flat.n_nationkey AND p.v = version JOIN crows c ON c.r_regionkey = flat.r_regionkey AND c.v = version WHERE flat.red"""
 
 
 def _patch(spark, sf):
-    f = flat(spark, sf)
-    whole = F.regexp_replace("series_instance_uid", "se.", "").cast("bigint") % 100 == 40
-    blank = F.struct(*[F.when(whole, "").otherwise(F.col(f"se_hashes.{s}")).alias(s) for s in R.SLOTS])
-    red = fx.levels(spark, sf)["instance"].join(fx.items(spark, sf).filter("red").select(F.col("sop").alias("sop_instance_uid")),
-                                                "sop_instance_uid", "left_semi").select(F.col("uuid").alias("i_uuid"))
-    return f, R.hash_patch(f.withColumn("se_hashes", blank), red)
+    """From the results of the withdrawal: the flattened rows of withdrawn instances alone."""
+    out = withdrawn(spark, sf)
+    gone = out["instance"].filter("redacted")
+    f = all_flattened({**out, "instance": gone}, fx.edges(spark, sf))
+    return fx.stored(spark, sf, "hash_patch", lambda: R.hash_patch(f, gone.select(F.col("uuid").alias("i_uuid"))))
 
 
-@query("m5_hash_patch", with_("flat") + _P)
+@query("m5_hash_patch", with_("flat", extra=_SM + ",\n" + _UP) + _P)
 def m5(spark, sf):
-    return _patch(spark, sf)[1]
+    return _patch(spark, sf)
+
+
+def _one_sql(name, key, h):
+    return f"{name} AS (SELECT version, {key}, max({h}) AS new_{h} FROM patch WHERE {key} <> '' GROUP BY 1, 2)"
 
 
-@query("m6_apply_patch", with_("flat", extra=f"patch AS ({_P}),\none AS (SELECT version, series_instance_uid, max(series_hash) AS nh FROM patch GROUP BY 1, 2)")
-       + """SELECT version, i_uuid, series_instance_uid, coalesce(nh, md5(i_uuid)) AS series_hash FROM flat LEFT JOIN one USING (version, series_instance_uid)""")
+@query("m6_apply_patch", with_("flat", extra=_SM + ",\n" + _UP + f",\npatch AS ({_P}),\n" + ",\n".join(_one_sql(f"n{i}", k, h) for i, (_, k, h) in enumerate(R.PATCHED)))
+       + "SELECT version, i_uuid, " + ", ".join(f"coalesce(new_{h}, md5({k})) AS {h}" for _, k, h in R.PATCHED)
+       + " FROM flat " + " ".join(f"LEFT JOIN n{i} USING (version, {k})" for i, (_, k, _) in enumerate(R.PATCHED)))
 def m6(spark, sf):
-    f, patch = _patch(spark, sf)
-    t = f.select("version", "i_uuid", "series_instance_uid", F.md5("i_uuid").alias("series_hash"))
-    return R.apply_patch(t, patch, ["version", "series_instance_uid"], ["series_hash"])
+    """A published table whose hashes are all stale, patched in its files; versions that the patch says nothing of are not touched."""
+    path = f"{scratch_dir(spark)}/published"
+    flat(spark, sf).select("version", "i_uuid", *[k for _, k, _ in R.PATCHED], *[F.md5(k).alias(h) for _, k, h in R.PATCHED]).write.partitionBy("version").parquet(path)
+    R.patch_published(path, _patch(spark, sf))
+    return spark.read.parquet(path).select("version", "i_uuid", *[h for _, _, h in R.PATCHED])
 
 
 @query("j27_update_from", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'new' ELSE p_brand END AS p_brand, p_name FROM part")
