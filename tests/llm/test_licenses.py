@@ -45,6 +45,13 @@ def test_tags_notices_and_scores(docs):
     assert [(out[i].labels, out[i].score) for i in range(6)] == [("apache-2.0,gpl-2.0-only,mit", 1.0), ("gpl-2.0-only", 0.4), ("invalid", 0.0), ("cc-by-nc-4.0", 0.2), ("", 0.0), ("invalid", 0.0)]
 
 
+def test_only_identifiers_are_licences(docs):
+    out = check(docs, ["License expression: see below", "An SPDX license identifier is a string", "SPDX-License-Identifier: GPL-2.0+ WITH nothing", "SPDX-License-Identifier: LGPL-2.1-or-later OR LicenseRef-own.1",
+                       "Licensed under the MIT License. All rights reserved.", "All rights reserved.", "SPDX-License-Identifier: GPL-2.0-only WITH GCC-exception-3.1 AND ISC"])
+    assert [(out[i].labels, out[i].score) for i in range(7)] == [("invalid", 0.0), ("invalid", 0.0), ("invalid", 0.0), ("lgpl-2.1-or-later,licenseref-own.1", 0.6), ("mit,reserved", 1.0), ("reserved", 0.0),
+                                                                 ("gpl-2.0-only,isc", 0.4)]
+
+
 @pytest.mark.parametrize(("text", "postfix"), [("a or b and c", "a b c and or"), ("(a or b) and c", "a b or c and"), ("a with x and b", "a x with b and"), ("a) and b", "a"), ("a b", "a")])
 def test_shunting_yard(text, postfix):
     assert " ".join(licenses.to_postfix(text)) == postfix

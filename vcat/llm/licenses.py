@@ -3,9 +3,9 @@
 A text's words (digits, letters, anything beyond ASCII; A to Z lower-cased) are laid out with single spaces, and one automaton finds base phrases,
 notice phrases and identifier tags in all texts of a batch. Behind a tag, the expression up to the line's end is parsed with
 precedence WITH, AND, OR into postfix form and evaluated: its licences become labels, its grade is the best of alternatives and the worst
-of what holds together; an exception leaves the grade of its licence.
+of what holds together; an exception leaves the grade of its licence. What is no identifier of a licence or, behind WITH, of an exception, makes the expression ``invalid``.
 
-``score``: the worst grade of all statements found, from 1 (permissive) to 0; 0 where nothing is said.
+``score``: the worst grade of all statements found, from 1 (permissive) to 0; 0 where nothing is said, or no more than that rights are reserved.
 
 Defined results: null text: empty, no words. Expression that can't be parsed: label ``invalid``, grade 0. Repeated rows: each judged. Null ids stay.
 Empty table: no rows. Other columns are ignored. Texts are scanned whole.
@@ -33,11 +33,19 @@ NOTICES = {
     "cc by 4 0": "cc-by-4.0", "cc by sa 4 0": "cc-by-sa-4.0", "cc by nc 4 0": "cc-by-nc-4.0", "cc by nd 4 0": "cc-by-nd-4.0", "cc0 1 0": "cc0-1.0",
     "permission is hereby granted free of charge": "mit", "redistribution and use in source and binary forms": "bsd", "all rights reserved": "reserved",
 }
+RESERVED = "reserved"
 TAGS = ("spdx license identifier", "license expression")
 #: Grade of a licence by the first prefix that fits; others have UNKNOWN.
 GRADES = (("mit", 1.0), ("apache", 1.0), ("bsd", 1.0), ("isc", 1.0), ("cc0", 1.0), ("unlicense", 1.0), ("cc-by-nc", 0.2), ("cc-by-nd", 0.2), ("cc-by-sa", 0.6),
           ("cc-by", 0.9), ("lgpl", 0.6), ("mpl", 0.7), ("epl", 0.7), ("agpl", 0.3), ("gpl", 0.4), ("reserved", 0.0))
 UNKNOWN = 0.1
+# Identifiers of licences and of exceptions, by families with their versions; a licence's name may be marked as "only", "or later" or with a plus.
+KNOWN = re.compile(
+    r"(mit(-0)?|apache-(1\.0|1\.1|2\.0)|0bsd|bsd-[1234]-clause(-patent|-clear|-attribution)?|isc|unlicense|zlib|ncsa|x11|wtfpl|postgresql|python-2\.0(\.1)?|psf-2\.0|openssl|ruby|vim|curl"
+    r"|artistic-(1\.0|2\.0)|bsl-1\.0|upl-1\.0|blueoak-1\.0\.0|afl-[123]\.[01]|ms-(pl|rl)|osl-[123]\.0|ecl-2\.0|ofl-1\.[01]|odbl-1\.0|odc-by-1\.0|pddl-1\.0"
+    r"|(gpl|agpl)-[123]\.0|lgpl-(2\.0|2\.1|3\.0)|gfdl-1\.[123]|mpl-(1\.0|1\.1|2\.0)|epl-[12]\.0|eupl-1\.[012]|cddl-1\.[01]|cecill-(1\.[01]|2\.[01]|b|c)|sspl-1\.0|busl-1\.1"
+    r"|cc0-1\.0|cc-by(-nc)?(-sa|-nd)?-[1234]\.[05]|licenseref-[a-z0-9.-]+|none|noassertion)(-only|-or-later|\+)?")
+EXCEPTIONS = re.compile(r"[a-z0-9.+-]+-exception(-[0-9.]+)?|linux-syscall-note|llgpl|(gpl|lgpl)-cc-1\.0|swift-exception|llvm-exception|exceptionref-[a-z0-9.-]+")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 
@@ -78,15 +86,24 @@ def to_postfix(text: str) -> list[str]:
 
 
 def evaluate(text: str) -> tuple[set[str], float]:
-    """Licences of an expression and its grade."""
+    """Licences of an expression and its grade; ValueError if it is none, or names what is no licence or exception."""
     stack: list[tuple[set[str], float]] = []
     for token in to_postfix(text):
-        if token in _BINDS:
-            (right, y), (left, x) = stack.pop(), stack.pop()
-            stack.append((left, x) if token == "with" else (left | right, max(x, y) if token == "or" else min(x, y)))
-        else:
+        if token not in _BINDS:
             stack.append(({token}, grade(token)))
-    return stack.pop()
+            continue
+        (right, y), (left, x) = stack.pop(), stack.pop()
+        if token == "with":
+            if len(left) > 1 or not EXCEPTIONS.fullmatch(*right):
+                raise ValueError(*right)
+            stack.append((left, x))
+        else:
+            stack.append((left | right, max(x, y) if token == "or" else min(x, y)))
+    labels, value = stack.pop()
+    for token in labels:
+        if not KNOWN.fullmatch(token):
+            raise ValueError(token)
+    return labels, value
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -157,7 +174,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         places.append({"label": label, "word": w})
                     elif kind == "notice":
                         own.add(label)
-                        grades.append(grade(label))
+                        if label != RESERVED:
+                            grades.append(grade(label))
                         places.append({"label": label, "word": w})
                     else:
                         rest = raw[behind:ends[r + 1]]
@@ -170,7 +188,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         own |= labels
                         grades.append(g)
                         places += [{"label": x, "word": w} for x in sorted(labels)]
-                rows.append((len(words), min(words, default=None), max(words, default=None), ",".join(sorted(base)), ",".join(sorted(base | own)), min(grades, default=0.0), places))
+                rows.append((len(words), min(words, default=None), max(words, default=None), ",".join(sorted(base)), ",".join(sorted(base | own)), min(grades, default=0.0), places))  # rights reserved are the default: they say nothing beside a licence
             cols = list(zip(*rows))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), kinds]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(counts, pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types))],
