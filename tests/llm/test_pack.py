@@ -8,9 +8,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from vcat.llm import pack
+from vcat.llm.textbytes import data
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ENCODER = pack.encoder(PATH)
+ENCODER = pack.encoder(PATH, 0)
+
+
+def encode(texts, encoder=ENCODER):
+    ids, bounds = encoder.encode(*data(pa.array(texts, pa.string())))
+    return [ids[i:j - 1].tobytes() for i, j in zip(bounds, bounds[1:])]
 
 
 def plain(texts):
@@ -21,13 +27,13 @@ def test_parts_give_the_ids_of_whole_texts(monkeypatch):
     texts = ["", " ", "It's  Fine, isn't\x1cit?", "á ́b", "ΑΣ ΑΣ. İx ﬁ", "x<|endoftext|>y <|startoftext|>", "naïve,,, ÉCOLE!! 3.14%", "don't...'s", " a b\x85c", "日本語 テスト。", "ée", "Å Å"]
     monkeypatch.setattr(pack, "KNOWN", 8)
     for _ in range(3):
-        assert ENCODER.encode([t.encode() for t in texts]) == plain(texts)
+        assert encode(texts) == plain(texts)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=5))
 def test_any_text(texts):
-    assert ENCODER.encode([t.encode() for t in texts]) == plain(texts)
+    assert encode(texts) == plain(texts)
 
 
 def test_least_sum_of_squares_is_chosen():
@@ -75,6 +81,16 @@ def test_sequences_hold_the_ids(docs):
         assert len(r.ids) == sum(p.length for p in r.pieces) and [p.offset for p in r.pieces] == [sum(q.length for q in r.pieces[:i]) for i in range(len(r.pieces))]
 
 
-def test_column_chunks_of_sliced_arrays():
-    t = pa.array(["zz", None, "a b"]).slice(1)
-    assert [len(g) for g in pack._groups(t)] == [2]
+def test_parts_are_forgotten_and_met_again(monkeypatch):
+    monkeypatch.setattr(pack, "KNOWN", 50)
+    own, rng = pack.Encoder(PATH), random.Random(3)
+    for _ in range(40):
+        texts = [" ".join(rng.choice(["often", "é", "x" * 70, "x" * 71, f"w{rng.randrange(300)}", "Don't,"]) for _ in range(30)) for _ in range(3)]
+        assert encode(texts, own) == plain(texts) and len(own.hashes) <= 150
+
+
+def test_a_very_long_text_and_a_very_long_word(docs):
+    rows = [(1, "word " * 300_000), (2, "y" * 700_000)]
+    got = pack.tokenize(docs(rows), PATH).collect()
+    want = [len(x) // 4 + 1 for x in plain([t for _, t in rows])]
+    assert [sum(r.length for r in got if r.doc_id == i) for i in (1, 2)] == want

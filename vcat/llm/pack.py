@@ -22,128 +22,154 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vcat.llm.common import settle
+from vcat.llm.textbytes import chunks, data, word_places
 
 SEQUENCE, END_ID = 2048, 0
-#: Parts of texts whose ids a task keeps.
-KNOWN = 500_000
+#: Parts of texts whose ids a task keeps, some 30 bytes each; the longest of them, in bytes; bytes of text worked on at once.
+KNOWN, LONGEST, CHUNK = 1_000_000, 64, 1 << 20
 BLOCK = 8192
 #: A block's sequences with less than this share of tokens are packed again.
 GOOD = 0.98
 _MARKS = b".,!?;:%$&#*"
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers, by parts."""
+    """Ids of texts by their parts, which are told by 64-bit hashes: ``flat`` has the ids of all known parts one after the other, ``hashes`` (sorted), ``at`` and ``count``
+    say where. Of a million parts two have the same hash once in some ten million times; parts that are longer than ``LONGEST`` bytes are not kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bare = Tokenizer.from_file(path)  # for words that need no more than a split at white space
-        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        # for words that need no more than a split at white space the steps before the model are left out
+        self.full = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.bare = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         size = self.tokenizer.get_vocab_size()
         self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[bytes, bytes] = {}
-        self.again: set[bytes] = set()
+        self.kind = np.uint16 if size <= 1 << 16 and end_id < 1 << 16 else np.uint32
+        self.hashes, self.at, self.count, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.flat, self.used = np.zeros(1 << 16, self.kind), 1
+        self.flat[0] = end_id
 
-    def _one(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _one(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, tokenizer, parts: list[bytes], runs: list[int]) -> list[bytes]:
+    def _words(self, parts: list[bytes], runs: list[int]) -> list[np.ndarray]:
         """Ids of parts that are ``runs`` runs of letters or marks each: many at once. Every run ends in an id that shows it."""
         out, step = [], 300
         groups = [parts[i:i + step] for i in range(0, len(parts), step)]
-        for k, found in enumerate(tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
+        for k, found in enumerate(self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
             ends = np.flatnonzero(self.closes[ids]) + 1
             last = np.cumsum(runs[k * step:k * step + step]) - 1
-            if len(ends) == last[-1] + 1:
-                raw, at = ids.tobytes(), [0, *(ends[last] * 4).tolist()]
-                out += [raw[x:y] for x, y in zip(at, at[1:])]
-            else:
-                out += self._one([w.decode() for w in groups[k]])
+            out += np.split(ids, ends[last][:-1]) if len(ends) == last[-1] + 1 else self._one([w.decode() for w in groups[k]])
         return out
 
-    def learn(self, parts: set[bytes]) -> None:
-        new = parts - self.known.keys()
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {w: self.known[w] for w in self.again}
-            self.again = set()
-            new = parts - self.known.keys()
-        else:
-            self.again |= parts - new
-        ascii_parts, ascii_runs, parts_as, other, other_runs, rest = [], [], [], [], [], []
-        for w in new:
+    def ids_of(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each part, by the tokenizer."""
+        plain, other, rest = ([], [], []), ([], [], []), []
+        for i, w in enumerate(parts):
             stem = w.rstrip(_MARKS)
             run = 1 if len(stem) == len(w) else 2
             if stem.isalpha():
-                parts_as.append(w)
-                ascii_parts.append(stem.lower() if run == 1 else stem.lower() + b" " + w[len(stem):])
-                ascii_runs.append(run)
+                place, text = plain, stem.lower() if run == 1 else stem.lower() + b" " + w[len(stem):]
             elif stem.decode().isalpha():
-                other.append(w)
-                other_runs.append(run)
+                place, text = other, w
             else:
-                rest.append(w)
-        self.known.update(zip(parts_as, self._words(self.bare, ascii_parts, ascii_runs)))
-        self.known.update(zip(other, self._words(self.tokenizer, other, other_runs)))
-        self.known.update(zip(rest, self._one([w.decode() for w in rest])))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        known = self.known
-        return [b"".join([known[w] for w in parts]) for parts in split]
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
+                rest.append(i)
+                continue
+            for column, value in zip(place, (i, text, run)):
+                column.append(value)
+        out: list[np.ndarray] = [None] * len(parts)
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.bare
+        found = self._words(*plain[1:])
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.full
+        for i, ids in zip((*plain[0], *other[0], *rest), (*found, *self._words(*other[1:]), *self._one([parts[i].decode() for i in rest]))):
+            out[i] = ids
+        return out
 
-def _groups(texts: pa.Array, most: int = 2 << 20) -> Iterator[list[bytes]]:
-    group, size = [], 0
-    for t in texts:
-        raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-        group.append(raw)
-        size += len(raw)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    def _append(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        count = np.array([len(x) for x in found], np.int32)
+        new = np.concatenate(found) if found else np.zeros(0, self.kind)
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:self.used], np.zeros(len(new) + (self.used >> 1), self.kind)))
+        at = self.used + np.cumsum(count) - count
+        self.flat[self.used:self.used + len(new)] = new
+        self.used += len(new)
+        return at.astype(np.int32), count
+
+    def _forget(self, coming: int) -> None:
+        """Room for ``coming`` parts: those go that were not met again, or all if that is not enough."""
+        keep = self.again if np.count_nonzero(self.again) + coming <= KNOWN // 2 else np.zeros(len(self.again), bool)
+        self.hashes, at, count = self.hashes[keep], self.at[keep], self.count[keep]
+        own = self.flat[_runs(at, count)]
+        self.flat[1:1 + len(own)] = own
+        self.at, self.count, self.used = (1 + np.cumsum(count) - count).astype(np.int32), count, 1 + len(own)
+        self.again = np.zeros(len(self.hashes), bool)
+
+    def encode(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the end id, and the bounds of the texts in them."""
+        rows, h, start, length = word_places(raw, ends)
+        h[length > LONGEST] = np.arange(np.count_nonzero(length > LONGEST))  # each by itself
+        parts, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(parts) > KNOWN or self.used > 8 * KNOWN:
+            self._forget(len(parts))
+        spot = np.searchsorted(self.hashes, parts)
+        known = np.zeros(len(parts), bool)
+        inside = spot < len(self.hashes)
+        known[inside] = self.hashes[spot[inside]] == parts[inside]
+        self.again[spot[known]] = True
+        at, count = np.zeros(len(parts), np.int32), np.zeros(len(parts), np.int32)
+        at[known], count[known] = self.at[spot[known]], self.count[spot[known]]
+        new = ~known
+        text, s, n = raw.tobytes(), start[first[new]], length[first[new]]
+        at[new], count[new] = self._append(self.ids_of([text[i:i + k] for i, k in zip(s.tolist(), n.tolist())]))
+        keep = np.flatnonzero(new)[n <= LONGEST]
+        self.hashes, self.again = np.insert(self.hashes, spot[keep], parts[keep]), np.insert(self.again, spot[keep], False)
+        self.at, self.count = np.insert(self.at, spot[keep], at[keep]), np.insert(self.count, spot[keep], count[keep])
+        words = np.searchsorted(rows, np.arange(len(ends) - 1), "right")  # an end id behind the last part of each text
+        at, count = np.insert(at[inverse], words, 0), np.insert(count[inverse], words, 1)
+        bounds = np.cumsum(count)[words + np.arange(len(words))]
+        return self.flat[_runs(at, count)].astype("<u4"), np.concatenate(([0], bounds))
+
+
+def _runs(at: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places at, at + 1, ... of every run, one after the other."""
+    before = np.cumsum(count) - count
+    return np.repeat(at.astype(np.int64) - before, count) + np.arange(int(count.sum()))
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = Encoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 def _pieces(path: str, sequence: int, end_id: int, with_ids: bool):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, end_id)
         for batch in batches:
-            docs, at = batch.column(0), 0
-            for group in _groups(batch.column(1)):
-                rows, piece, length, crc, kept = [], [], [], [], []
-                for r, raw in enumerate(own.encode(group), at):
-                    raw += end
-                    for i in range(0, len(raw), 4 * sequence):
-                        cut = raw[i:i + 4 * sequence]
-                        rows.append(r)
-                        piece.append(i // (4 * sequence))
-                        length.append(len(cut) // 4)
-                        crc.append(zlib.crc32(cut))
-                        if with_ids:
-                            kept.append(np.frombuffer(cut, "<u4").astype(np.int32))
-                at += len(group)
-                cols = [docs.take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array([p * sequence for p in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            docs, texts = batch.column(0), pc.fill_null(batch.column(1), "")
+            for i, j in chunks(texts, CHUNK):
+                ids, bounds = own.encode(*data(texts.slice(i, j - i)))
+                size = np.diff(bounds)
+                pieces = -(-size // sequence)
+                rows = np.repeat(np.arange(j - i), pieces)
+                piece = _runs(np.zeros(j - i, np.int64), pieces)
+                begin = bounds[rows] + piece * sequence
+                length = np.minimum(sequence, bounds[rows + 1] - begin)
+                view = memoryview(ids).cast("B")
+                crc = [zlib.crc32(view[4 * b:4 * (b + n)]) for b, n in zip(begin.tolist(), length.tolist())]
+                cols = [docs.take(pa.array(rows + i)), pa.array(piece.astype(np.int32)), pa.array(piece * sequence), pa.array(length), pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32()), pa.array(np.concatenate(kept))))
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate((begin, bounds[-1:])), pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 

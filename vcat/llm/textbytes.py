@@ -46,12 +46,12 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Row ranges of some megabytes each; a longer text is alone in its range."""
     ends = offsets(texts)
     i = 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + size, "right")) - 1)
         yield i, min(j, len(texts))
         i = j
 
@@ -109,6 +109,20 @@ def word_hashes(raw: np.ndarray, ends: np.ndarray, gap: np.ndarray = WHITE, lowe
     return np.concatenate(rows), np.concatenate(found)
 
 
+def word_places(raw: np.ndarray, ends: np.ndarray, gap: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, start, length) of every word, in order; case counts."""
+    parts = []
+    for begin, b, s, e in spans(raw, ends, gap):
+        sums = np.zeros(len(b) + 1, U)
+        np.cumsum(_TABLE[b] * _power(_BASE, len(b)), dtype=U, out=sums[1:])
+        h = mix((sums[e] - sums[s]) * _power(_INVERSE, len(b) + 1)[s] ^ (e - s).astype(U))
+        parts.append((np.searchsorted(ends, s + begin, "right") - 1, h, s + begin, e - s))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, U), none, none
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
 def shingle_sets(raw: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct k-word shingles of every text, in order of row and hash. A text of fewer words has its whole sequence as one."""
     rows, h = word_hashes(raw, ends)
