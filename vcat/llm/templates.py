@@ -40,7 +40,7 @@ _STOPS = (".", "!", "?", ":")
 
 #: Texts in which this is not found have neither numbers nor names, so nothing but words: no digit, and no capital (or letter of a later Unicode) in
 #: any word that doesn't follow a stop.
-_PLACEHOLDER = r"[0-9]|(?:^|[^\s.!?:])\s+\S*[\p{IsUppercase}\p{Lt}\p{Cn}]"
+_PLACEHOLDER = r"[0-9]|(?:^|[^\s.!?:])\s++[^\s\p{IsUppercase}\p{Lt}\p{Cn}]*+[\p{IsUppercase}\p{Lt}\p{Cn}]"
 
 
 def _clean(text: Column) -> Column:
@@ -79,31 +79,29 @@ def _tokens(df: DataFrame, text: str, *keep: str, lead: bool = False) -> DataFra
     return typed.select(*keep, F.coalesce(F.col("t.k"), words).alias("k"), F.coalesce("t.v", F.transform(words, lambda _: F.lit(None).cast("string"))).alias("v"), F.col("t.w").alias("w"))
 
 
-def _rolled(k: Column, width: int) -> Column:
-    """The hash of the ``width`` tokens from every place on; those of the last ``width - 1`` places are no windows. Hashes of two
-    windows make that of a window up to twice as long, so the work doesn't grow with the width."""
-    def longer(h: Column, have: int) -> Column:
-        if have >= width:
-            return h
-        step = min(have, width - have)
-        pairs = F.zip_with(h, F.slice(h, F.lit(step + 1), F.greatest(F.size(h), F.lit(1))), lambda x, y: F.xxhash64(x, y))
-        return let(pairs, lambda p: longer(p, have + step))
-
-    return let(k, lambda h: longer(h, 1))
+def _hash(k: str, width: int) -> Column:
+    """The hash of the ``width`` tokens from ``pos`` on."""
+    return F.xxhash64(*(F.get(k, F.col("pos") + j) for j in range(width)))
 
 
 def _windows(tokens: DataFrame, width: int, shorter: list[int], *keep: str) -> DataFrame:
     """``keep, n, long, pos, h`` of a text of ``n`` tokens: the hash of every window of ``width`` canonical tokens, or of all tokens where they are
-    fewer (``long`` is 0), of every window of ``width`` words where that is another one, and of every window of as many words as ``shorter`` lists."""
-    n = F.size("k")
-    canonical = F.when(n >= width, _rolled(F.col("k"), width)).otherwise(F.array_repeat(F.xxhash64("k"), n))
-    literal = F.when(F.col("w").isNotNull(), _rolled(F.col("w"), width)).otherwise(F.array().cast("array<bigint>"))
-    short = [_rolled(F.coalesce("w", "k"), s) for s in shorter]
-    every = let(canonical, lambda c: F.concat(c, *short, let(literal, lambda l: F.transform(l, lambda x, i: F.when(x != F.get(c, i), x)))))
-    # the outer form, as for the other the optimizer adds a filter on the array, which computes it once more
-    each = tokens.select(*keep, n.alias("n"), every.alias("h")).select(*keep, "n", F.posexplode_outer("h").alias("i", "h")).filter("i IS NOT NULL AND h IS NOT NULL")
-    laid = each.select(*keep, "n", F.get(F.array(*map(F.lit, [0, *shorter, width])), F.expr("int(i div n)")).alias("long"), F.expr("i % n").alias("pos"), "h")
-    return laid.filter(F.col("pos") <= F.when(F.col("long") > 0, F.col("n") - F.col("long")).otherwise(F.greatest(F.col("n") - width, F.lit(0))))
+    fewer (``long`` is 0), of every window of ``width`` words where that is another one, and of every window of as many words as ``shorter`` lists.
+
+    Places are exploded first and hashed as columns then, in generated code, where lambdas over arrays of hashes would not be. The outer forms, as for the others the
+    optimizer adds a filter on the array, which computes it once more."""
+    words = F.coalesce("w", "k").alias("_words")
+    each = tokens.select(*keep, F.size("k").alias("n"), "k", "w", *([words] if shorter else []), F.posexplode_outer("k").alias("pos", "_k"))
+    starts = F.col("pos") + width <= F.col("n")
+    whole = F.when(starts, _hash("k", width)).when((F.col("pos") == 0) & (F.col("n") < width), F.xxhash64("k"))
+    each = each.withColumn("_whole", whole)
+    literal = F.when(starts & F.col("w").isNotNull(), _hash("w", width))
+    both = F.array(F.col("_whole"), F.nullif(literal, F.col("_whole")), *(F.when(F.col("pos") + s <= F.col("n"), _hash("_words", s)) for s in shorter))
+    hashes = both if shorter else F.when(F.col("w").isNull(), F.array("_whole")).otherwise(both)
+    laid = each.select(*keep, "n", "pos", F.posexplode_outer(hashes).alias("_i", "h")).filter("h IS NOT NULL")
+    if not shorter:
+        return laid.select(*keep, "n", (F.col("_i") * width).alias("long"), "pos", "h")
+    return laid.select(*keep, "n", F.get(F.array(*map(F.lit, [0, width, *shorter])), F.col("_i")).alias("long"), "pos", "h")
 
 
 def _slots(v: str, pos: str, width: int) -> Column:
