@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vcat.functions.exprs import uuid_of
 from vcat.operators import lifecycle as L
+from vcat.operators.metadata import version_metadata
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import content, merkle, uuid, with_
@@ -471,11 +472,15 @@ def _nothing(spark):
     return out
 
 
-def built(spark, sf):
-    """Two releases, each built from the one before."""
+def releases(spark, sf):
+    """Rows and edges of two releases, each built from the one before."""
     args = {"settle": settle, "names": {"collection": "collection_id"}}
-    first, _ = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, attributes=_attributes(spark, sf, 1), **args)
-    return L.build_version(first, _offered_path(spark, sf, 2), _PATH, 2, attributes=_attributes(spark, sf, 2), **args)
+    first = L.build_version(_nothing(spark), _offered_path(spark, sf, 1), _PATH, 1, attributes=_attributes(spark, sf, 1), **args)
+    return first, L.build_version(first[0], _offered_path(spark, sf, 2), _PATH, 2, attributes=_attributes(spark, sf, 2), **args)
+
+
+def built(spark, sf):
+    return releases(spark, sf)[1]
 
 
 def _rows_sql(level, a, b, key="id"):
@@ -543,3 +548,13 @@ UNION ALL SELECT 'version_collection', '2', {_node_uuid('c')} FROM rows_ c WHERE
 def build_edges(spark, sf):
     _, edges = built(spark, sf)
     return reduce(DataFrame.unionByName, [e.select(F.lit(name).alias("edge"), F.col(e.columns[0]).cast("string").alias("parent"), F.col(e.columns[1]).alias("child")) for name, e in edges.items()])
+
+
+@query("a19_version_metadata", with_("inst", extra=_S12 + _CUM) + " UNION ALL ".join(
+    f"SELECT {v} AS version, (SELECT md5(string_agg(hash, '' ORDER BY hash)) FROM c{v}) AS version_hash, left({_TS.format(c='max(i_rev)')}, 10) AS version_timestamp FROM inst WHERE i_rev <= {v} AND ({v} <= i_final OR i_final = 0)"
+    for v in (1, 2)))
+def a19(spark, sf):
+    """The version rows of two built releases."""
+    (one, _), (two, _) = releases(spark, sf)
+    cols = ["version", "hashes", "max_timestamp"]
+    return version_metadata(one["version"].select(*cols).unionByName(two["version"].select(*cols))).withColumn("version_timestamp", F.col("version_timestamp").cast("string"))

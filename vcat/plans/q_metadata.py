@@ -65,14 +65,6 @@ def a18(spark, sf):
     return _shown(MD.latest_for_modality(aux(spark, sf), image_rows(spark, sf), "CT", fx.versions_table(spark)))
 
 
-@query("a19_version_metadata", f"""SELECT v AS version, md5(md5(md5('version|' || v))) AS version_hash, left({TS.format(c='v')}, 10) AS version_timestamp
-FROM (SELECT DISTINCT 1 + n_nationkey % 2 AS v FROM nation)""")
-def a19(spark, sf):
-    vs = fx.versions_table(spark)
-    seen = table(spark, sf, "nation").select((F.col("n_nationkey") % 2 + 1).alias("version")).distinct()
-    return MD.version_metadata(vs.join(seen, "version", "left_semi")).withColumn("version_timestamp", F.col("version_timestamp").cast("string"))
-
-
 _OCM = """ocm AS (SELECT s_suppkey, 'col-' || s_suppkey AS cid, p_type AS tag, p_brand AS brand, p_partkey FROM (SELECT DISTINCT l_suppkey AS s_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey)"""
 
 
