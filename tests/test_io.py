@@ -1,5 +1,6 @@
 """Sources, sinks, clinical files and the stream."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vcat.functions.textclean import expand_range, links_to_modal, links_to_text, reform_case
@@ -7,7 +8,7 @@ from vcat.operators import harmonise as H
 from vcat.operators.manifests import DOWNLOAD_HEADER, with_header, write_manifests
 from vcat.sources import publish as P
 from vcat.sources import readers as R
-from vcat.streaming.intake import current_instances, ingest_manifests
+from vcat.streaming.intake import compact, current_instances, ingest_manifests
 
 
 def test_clinical_file_with_two_header_rows(spark, tmp_path):
@@ -87,6 +88,67 @@ def test_stream_is_repeatable(spark, tmp_path):
     assert sorted(r.sop_instance_uid for r in rows) == ["1", "2", "3", "4"]
 
 
+HEAD = "collection_id\tsubmitter_case_id\tstudy_instance_uid\tseries_instance_uid\tsop_instance_uid\tingestion_url\thash\tsize\n"
+
+
+def _deliver(spark, tmp_path, name, rows, every):
+    (tmp_path / "in").mkdir(exist_ok=True)
+    (tmp_path / "in" / name).write_text(HEAD + "".join(f"c\tp\ts\te\t{i}\tu{i}\t{h}\t1\n" for i, h in rows))
+    ingest_manifests(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "cp"), compact_every=every).awaitTermination()
+
+
+def _now(spark, tmp_path):
+    return {r.sop_instance_uid: r.hash for r in current_instances(spark, str(tmp_path / "t")).collect()}
+
+
+def test_reads_take_the_snapshot_and_the_deltas_since(spark, tmp_path):
+    table = tmp_path / "t"
+    for n, rows in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b")], [(3, "c"), (4, "c")]]):
+        _deliver(spark, tmp_path, f"{n}.tsv", rows, 2)
+    assert sorted(p.name for p in (table / "snapshots").iterdir()) == ["upto=1"]
+    want = {"1": "a", "2": "b", "3": "c", "4": "c"}
+    assert _now(spark, tmp_path) == want
+    # What the snapshot holds is not read from its deltas any more.
+    other = spark.read.parquet(str(table / "deltas" / "batch=2")).withColumn("sop_instance_uid", F.lit("9"))
+    other.write.mode("overwrite").parquet(str(table / "deltas" / "batch=0"))
+    assert _now(spark, tmp_path) == want
+    compact(spark, str(table), 2)
+    assert _now(spark, tmp_path) == want
+    before = {p.name: p.stat().st_mtime_ns for p in (table / "snapshots" / "upto=2").iterdir()}
+    compact(spark, str(table), 2)  # in the log: not written again
+    assert {p.name: p.stat().st_mtime_ns for p in (table / "snapshots" / "upto=2").iterdir()} == before
+
+
+def test_a_snapshot_without_its_row_in_the_log_does_not_count(spark, tmp_path):
+    table = tmp_path / "t"
+    _deliver(spark, tmp_path, "0.tsv", [(1, "a"), (2, "a")], 0)
+    spark.range(3).write.parquet(str(table / "snapshots" / "upto=0"))  # a compaction that ended before the switch
+    assert _now(spark, tmp_path) == {"1": "a", "2": "a"}
+    compact(spark, str(table), 0)
+    _deliver(spark, tmp_path, "1.tsv", [(2, "b")], 0)
+    assert _now(spark, tmp_path) == {"1": "a", "2": "b"}
+
+
+def test_long_files_are_hashed_in_blocks(spark, tmp_path):
+    import hashlib
+
+    d = tmp_path / "files"
+    d.mkdir()
+    want = {}
+    for name, data in (("empty", b""), ("short.gz", b"not packed"), ("long one%41.gz", bytes(range(256)) * 300), ("long.b", b"x" * 70001)):
+        (d / name).write_bytes(data)
+        want[name] = (hashlib.md5(data).hexdigest(), len(data))
+    with (d / "sparse").open("wb") as f:
+        f.truncate(3 << 30)  # more than a cell can hold
+    zeros = hashlib.md5()
+    for _ in range(3 << 8):
+        zeros.update(bytes(4 << 20))
+    want["sparse"] = (zeros.hexdigest(), 3 << 30)
+    done = spark.createDataFrame([(f"file:{d}/long.b",)], "ingestion_url string")
+    got = {r.ingestion_url.rsplit("/", 1)[1]: (r.hash, r["size"]) for r in R.file_manifest(spark, str(d), done=done, whole=1000).collect()}
+    assert got == {k: v for k, v in want.items() if k not in ("long.b", "empty")}
+
+
 def test_scratch_follows_the_cluster_setting():
     class Session:  # the setting can only be made when a session starts
         class conf:

@@ -177,7 +177,7 @@ def t1(spark, sf):
     k = F.col("series_instance_uid").substr(4, 20).cast("bigint")
     rows = manifest_rows(spark, sf)
     put = lambda cond: rows.filter(cond).write.mode("append").csv(f"{base}/in", sep="\t", header=True)
-    run = lambda: ingest_manifests(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    run = lambda: ingest_manifests(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", compact_every=2).awaitTermination()
     put(k % 3 != 0)
     put(k % 3 != 1)
     run()
@@ -189,15 +189,15 @@ def t1(spark, sf):
 
 @query("t1_ingest_updates", with_("items") + "SELECT sop AS sop_instance_uid, CASE WHEN l_orderkey % 2 = 0 THEN 'new' ELSE 'old' END AS hash FROM items")
 def t1_updates(spark, sf):
-    """A later delivery brings new content for half of the instances."""
+    """A later delivery brings new content for half of the instances: read from the snapshot of the first and the second's delta."""
     base = P.scratch_dir(spark)
     rows = manifest_rows(spark, sf)
     put = lambda df, h: df.withColumn("hash", F.lit(h)).write.mode("append").csv(f"{base}/in", sep="\t", header=True)
-    run = lambda: ingest_manifests(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    run = lambda every: ingest_manifests(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", compact_every=every).awaitTermination()
     put(rows, "old")
-    run()
+    run(1)
     put(rows.filter(F.col("series_instance_uid").substr(4, 20).cast("bigint") % 2 == 0), "new")
-    run()
+    run(16)
     return current_instances(spark, f"{base}/table").select("sop_instance_uid", "hash")
 
 

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +35,37 @@ def read_manifest(spark: SparkSession, path: str, sep: str | None = None, rename
     return _trimmed(spark.read.csv(path, sep=sep, header=True).withColumnsRenamed(renames or MANIFEST_COLUMNS))
 
 
+#: Files of up to so many bytes are hashed as one cell, longer ones are streamed in blocks.
+WHOLE, BLOCK = 64 << 20, 4 << 20
+
+
+def open_stream(uri: str) -> BinaryIO:
+    """The bytes of a file as a stream, as they are stored: local, or wherever pyarrow reaches (HDFS, S3, GCS)."""
+    if uri.startswith("file:"):
+        return open("/" + uri.removeprefix("file:").lstrip("/"), "rb")
+    scheme, rest = uri.split("://", 1)
+    store, path = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+    return store.open_input_stream(path, compression=None)
+
+
+def _streamed_md5(open_with: Callable[[str], BinaryIO]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, uri in enumerate(batch.column(0).to_pylist()):
+                md5 = hashlib.md5(usedforsecurity=False)
+                with open_with(uri) as stream:
+                    while block := stream.read(BLOCK):
+                        md5.update(block)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([md5.hexdigest()]), batch.column(1).slice(i, 1)], ["ingestion_url", "hash", "size"])
+
+    return run
+
+
 def file_manifest(spark: SparkSession, directory: str, exclude_suffixes: tuple[str, ...] = (), include: str | None = None,
-                  done: DataFrame | None = None) -> DataFrame:
+                  done: DataFrame | None = None, whole: int = WHOLE, open_with: Callable[[str], BinaryIO] = open_stream) -> DataFrame:
     """Files below a directory with md5 and size. Names and the list of files already done are applied
-    to the listing; only then is any content read, one file per row."""
+    to the listing; only then is any content read: of files of up to ``whole`` bytes one per row, and of longer ones in
+    blocks from ``open_with(path)``, as a cell can not hold more than 2 GB. Spark's listing leaves out empty files."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
     keep = F.lit(True)
     for s in exclude_suffixes:
@@ -41,7 +75,12 @@ def file_manifest(spark: SparkSession, directory: str, exclude_suffixes: tuple[s
     rows = listing.filter(keep)
     if done is not None:
         rows = rows.join(done.select(F.col("ingestion_url").alias("path")).distinct(), "path", "left_anti")
-    return rows.select(F.col("path").alias("ingestion_url"), F.md5("content").alias("hash"), F.col("length").alias("size"))
+    url, size = F.col("path").alias("ingestion_url"), F.col("length").alias("size")
+    short = rows.filter(F.col("length") <= whole).select(url, F.md5("content").alias("hash"), size)
+    # Rows are paths only, far too small for adaptive execution to see the work behind them: their number of tasks is given.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = rows.filter(F.col("length") > whole).select(url, size).repartition(tasks, "ingestion_url")
+    return short.unionByName(long.mapInArrow(_streamed_md5(open_with), "ingestion_url string, hash string, size bigint"))
 
 
 def read_lookup_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
