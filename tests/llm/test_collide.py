@@ -1,3 +1,4 @@
+import decimal
 import math
 import random
 
@@ -52,6 +53,19 @@ def test_repeats_null_ids_and_empty_table(docs):
     assert collide.near_vectors(docs([], SCHEMA)).count() == 0
 
 
+def test_labels_of_any_type_and_lengths_of_any_size(docs):
+    v, w = [1.0, 2.0, -3.0], [1.0, 2.0, -2.9]
+    for kind, (one, other) in {"double": (0.2, 0.7), "string": ("b,1", "b"), "decimal(38,0)": (10**30, 10**30 + 1), "boolean": (True, False), "long": (2**60, 2**60 + 1)}.items():
+        if kind.startswith("decimal"):
+            one, other = decimal.Decimal(one), decimal.Decimal(other)
+        rows = [(1, one, v), (2, other, v), (3, one, w), (4, None, v)]
+        out = collide.near_vectors(docs(rows, f"vec_id long, label {kind}, embedding array<double>")).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4)}, kind
+    rows = [(1, 0.0, [x * 1e200 for x in v]), (2, -0.0, [x * 1e-200 for x in w]), (3, 0.0, [x * 5e-324 for x in v]), (4, 0.0, [-x * 1e300 for x in v]), (5, math.nan, v), (6, math.nan, w)]
+    out = collide.near_vectors(docs(rows, "vec_id long, label double, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
 def test_calibrated_count_keeps_the_recall():
     rng = random.Random(1)
     p = math.erf(2 / math.sqrt(2))

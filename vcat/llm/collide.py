@@ -11,6 +11,9 @@ then count. Pairs that pass are verified by cosine in double precision on the ve
 
 Equal vectors are one class, held by the smallest id, so copies are not expanded. Hot cells are split by adaptive skew joins.
 
+Labels may be of any type that can be written as text; NaN equals NaN, and 0.0 equals -0.0. Vectors are scaled by powers of two, which changes no cosine,
+so that lengths beyond the range of a double's square are compared too.
+
 Defined results: null label, null vector, null or non-finite components, zero norm, no components: linked with nothing, but kept. Vectors of
 other lengths than the label's partner don't link. Null id: component null, kept, no links. Repeated rows with equal ids: one vector.
 Empty table: no rows. Other columns are ignored.
@@ -23,8 +26,9 @@ from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vcat.llm.common import settle
 from vcat.llm.components import connected_components
@@ -45,6 +49,11 @@ def calibrated_count(m: int, p: float, recall: float) -> int:
     return 0
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that their largest components are from 1/2 to 1."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=-1, keepdims=True))[1])
+
+
 def _project(m: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions: dict[int, np.ndarray] = {}
@@ -56,14 +65,15 @@ def _project(m: int, seed: int):
             usable = (np.asarray(labels.is_valid()) & np.asarray(vectors.is_valid()) & np.asarray(ids.is_valid()))
             for i in np.flatnonzero(usable):
                 v = flat[starts[i]:starts[i + 1]]
-                norm = np.linalg.norm(v)
-                if not len(v) or not np.isfinite(norm) or norm == 0:
+                if not np.isfinite(v).all() or not v.any():
                     continue
+                unit = _scaled(v)
+                unit /= np.linalg.norm(unit)
                 if len(v) not in directions:
                     directions[len(v)] = np.random.default_rng([seed, len(v)]).standard_normal((len(v), m))
                 keep.append(i)
                 bits.append(v.tobytes())
-                proj.append(np.rint(v / norm @ directions[len(v)] * STEP).astype("<i2").tobytes())
+                proj.append(np.rint(unit @ directions[len(v)] * STEP).astype("<i2").tobytes())
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([ids.take(at), labels.take(at), pa.array(bits, pa.binary()), pa.array(proj, pa.binary())], ["vec_id", "label", "bits", "proj"])
 
@@ -79,7 +89,7 @@ def _cells(m: int, reach: int, groups: int, probes: bool):
                 part = batch.slice(i, 2000)
                 n = part.num_rows
                 p = np.frombuffer(b"".join(part.column(3).to_pylist()), "<i2").reshape(n, m).astype(np.int64)
-                label = np.asarray(part.column(1).cast(pa.int64())).astype(U)
+                label = np.asarray(part.column(1)).astype(U)
                 size = np.array([len(x) for x in part.column(2).to_pylist()], U)
                 for g in range(groups):
                     lead = p[:, g * LEADING:(g + 1) * LEADING]
@@ -123,7 +133,7 @@ def _cosine(least: float):
                 if len(x) == len(y):
                     by_size.setdefault(len(x), []).append(i)
             for size, at in by_size.items():
-                x, y = (np.frombuffer(b"".join(s[i] for i in at)).reshape(len(at), size // 8) for s in (left, right))
+                x, y = (_scaled(np.frombuffer(b"".join(s[i] for i in at)).reshape(len(at), size // 8)) for s in (left, right))
                 dot = np.einsum("ij,ij->i", x, y)
                 good[at] = dot / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))) >= least
             keep = pa.array(good)
@@ -132,6 +142,13 @@ def _cosine(least: float):
     return run
 
 
+def _label_text(vectors: DataFrame) -> Column:
+    c = F.col("label")
+    if isinstance(vectors.schema["label"].dataType, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0)  # turns -0.0 to 0.0
+    return c.cast("string")
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.98, m: int = 32, groups: int = 6, width: float = 2.0, recall: float = 0.9999, seed: int = 5) -> DataFrame:
     """A row per vector of ``vec_id, label, embedding``: ``vec_id, n_links, component_id, kept``. ``width``: the windows' reach in
     standard deviations of the least similar pair."""
@@ -140,11 +157,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, m: int = 32, groups: i
     far = sqrt(2 - 2 * least)
     reach = max(1, round(width * far * STEP))
     count = calibrated_count(m, erf(width / sqrt(2)), recall)
-    given = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
-    known = settle(given.mapInArrow(_project(m, seed), "vec_id long, label long, bits binary, proj binary"), "projected")
+    given = vectors.select(F.col("vec_id").cast("long"), _label_text(vectors).alias("label"), F.col("embedding").cast("array<double>"))
+    known = settle(given.mapInArrow(_project(m, seed), "vec_id long, label string, bits binary, proj binary"), "projected")
     classes = settle(known.groupBy("label", "bits").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("copies"), F.first("proj").alias("proj")), "classes")
 
-    reps = classes.select("rep", "label", "bits", "proj")
+    reps = classes.select("rep", F.xxhash64("label").alias("label"), "bits", "proj")  # equal labels are asked for again below
     schema = "key long, g int, id long, proj binary, " + ", ".join(f"p{j} int" for j in range(LEADING))
     index, asked = (reps.mapInArrow(_cells(m, reach, groups, probes), schema) for probes in (False, True))
     x, y = asked.alias("x"), index.alias("y")
@@ -152,8 +169,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, m: int = 32, groups: i
     near = x.join(y, [F.col("x.key") == F.col("y.key"), F.col("x.g") == F.col("y.g"), F.col("x.id") < F.col("y.id"), *window])
     pairs = near.select("x.g", "x.id", "y.id", "x.proj", "y.proj").toDF("g", "a", "b", "pa", "pb").mapInArrow(_count(m, reach, count), "a long, b long")
     pairs = settle(pairs.distinct(), "pairs")
-    left, right = (classes.select("rep", "bits").toDF(side, f"v{side}") for side in ("a", "b"))
-    links = settle(pairs.join(right, "b").join(left, "a").select("a", "b", "va", "vb").mapInArrow(_cosine(least), "a long, b long").distinct(), "links")
+    left, right = (classes.select("rep", "bits", "label").toDF(side, f"v{side}", f"l{side}") for side in ("a", "b"))
+    links = settle(pairs.join(right, "b").join(left, "a").filter("la = lb").select("a", "b", "va", "vb").mapInArrow(_cosine(least), "a long, b long").distinct(), "links")
 
     groups_of = connected_components(links)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
