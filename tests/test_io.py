@@ -158,3 +158,23 @@ def test_scratch_follows_the_cluster_setting():
             applicationId = "app-1"
 
     assert P.scratch_dir(Session).startswith("hdfs://shared/cp/app-1/vcat-")
+
+
+def test_clustered_reads_skip_files_and_lose_no_row(spark):
+    db = P.scratch_db(spark, "zones")
+    rows = spark.range(4000).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        P.clustered_write(rows, f"{db}.t", ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    wanted = lambda low, high: rows.filter((F.col("k") >= low) & (F.col("k") <= high)).count()
+    part = P.read_range(spark, f"{db}.t", "k", 100, 200)
+    assert part.count() == wanted(100, 200) and len(part.inputFiles()) < len(spark.table(f"{db}.t").inputFiles())
+    assert P.read_range(spark, f"{db}.t", "k", 9000).count() == 0
+    assert P.read_range(spark, f"{db}.t", "k").count() == rows.filter("k IS NOT NULL").count()
+    P.clustered_write(rows.selectExpr("k + 10000 AS k", "id"), f"{db}.t", ["k"], "append")
+    assert P.read_range(spark, f"{db}.t", "k", 3990, 10010).count() == wanted(3990, 4000) + wanted(0, 10)
+    assert spark.table(f"{db}.t_zones").count() == len(spark.table(f"{db}.t").inputFiles())
+    rows.filter("id < 10").write.mode("append").saveAsTable(f"{db}.t")  # by another writer, who tells no zones
+    assert P.read_range(spark, f"{db}.t", "k", 0, 5).count() == 2 * wanted(0, 5)

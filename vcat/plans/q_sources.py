@@ -170,6 +170,16 @@ def s16(spark, sf):
     return spark.table(f"{db}.o")
 
 
+@query("s16_range_read", "SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey BETWEEN (SELECT max(o_custkey) // 4 FROM orders) AND (SELECT max(o_custkey) // 2 FROM orders)")
+def s16_range(spark, sf):
+    """The second quarter of the keys, from the files that hold it."""
+    db = P.scratch_db(spark, "s16r")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
+    top = orders.agg(F.max("o_custkey")).first()[0]
+    P.clustered_write(orders, f"{db}.o", ["o_custkey", "o_orderkey"])
+    return P.read_range(spark, f"{db}.o", "o_custkey", top // 4, top // 2)
+
+
 @query("t1_ingest_manifests", with_("items") + _MAN.format(size="size"))
 def t1(spark, sf):
     """Three overlapping manifest deliveries, the last one after the first run of the stream."""

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -130,5 +134,24 @@ def annotate_schema(df: DataFrame, partial: T.StructType) -> DataFrame:
 
 def clustered_write(df: DataFrame, name: str, cols: list[str], mode: str = "overwrite") -> None:
     """Table whose files cover narrow ranges of the clustering columns, so that filters on them skip
-    files and row groups."""
+    files and row groups. The range of each file is kept in ``{name}_zones``; appending adds the new files to it."""
     df.repartitionByRange(*cols).sortWithinPartitions(*cols).write.mode(mode).saveAsTable(name)
+    spark = df.sparkSession
+    rows = spark.table(name).select(F.col("_metadata.file_name").alias("file"), *cols)  # names are unique within the table's one folder
+    if mode == "append" and spark.catalog.tableExists(f"{name}_zones"):
+        rows = rows.join(spark.table(f"{name}_zones").select("file"), "file", "left_anti")
+    zones = rows.groupBy("file").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in cols for f in (F.min, F.max)])
+    zones.write.mode(mode).saveAsTable(f"{name}_zones")
+
+
+def read_range(spark: SparkSession, name: str, col: str, low=None, high=None) -> DataFrame:
+    """Rows of a clustered table with ``low <= col <= high`` (None: open on that side), from the files whose range meets that one. Files that the
+    zones don't know, as others may have written them, are read as well, so no row is missed. Names of files are all that the driver sees."""
+    within = lambda least, most: reduce(and_, [F.col(c) >= v if up else F.col(c) <= v for c, v, up in ((most, low, True), (least, high, False)) if v is not None], F.lit(True))
+    hit = F.coalesce(within(f"min_{col}", f"max_{col}"), F.lit(False))
+    known = dict(spark.table(f"{name}_zones").select("file", hit).collect())
+    table = spark.table(name)
+    files = [f for f in map(unquote, table.inputFiles()) if known.get(f.rsplit("/", 1)[1], True)]
+    if not files:
+        return table.filter(F.lit(False))
+    return spark.read.schema(table.schema).parquet(*files).filter(F.col(col).isNotNull() & within(col, col))
