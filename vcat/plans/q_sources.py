@@ -92,7 +92,7 @@ def s7(spark, sf):
 @query("s8_jdbc_types", """SELECT n_name, '["' || n_name || '"]' AS tags FROM nation""")
 def s8(spark, sf):
     df = table(spark, sf, "nation").select("n_name", F.array(F.struct(F.col("n_name").alias("x"))).alias("tags"))
-    ready, _ = R.jdbc_ready(df)
+    ready = R.jdbc_ready(df)
     return ready.select("n_name", F.concat(F.lit('["'), F.get_json_object("tags", "$[0].x"), F.lit('"]')).alias("tags"))
 
 

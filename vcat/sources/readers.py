@@ -182,15 +182,14 @@ def sql_type(t: T.DataType) -> str:
     return "JSONB" if isinstance(t, (T.StructType, T.ArrayType, T.MapType)) else "TEXT"
 
 
-def jdbc_ready(df: DataFrame) -> tuple[DataFrame, str]:
-    """Nested columns as JSON text, and the column types to create the table with."""
+def jdbc_ready(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text."""
     nested = [f.name for f in df.schema.fields if sql_type(f.dataType) == "JSONB"]
-    types = ", ".join(f"`{f.name}` {sql_type(f.dataType)}" for f in df.schema.fields if sql_type(f.dataType) not in ("JSONB", "TEXT[]"))
-    return df.withColumns({c: F.to_json(c) for c in nested}) if nested else df, types
+    return df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> None:
     """Integers are widened to 64 bits and nested columns become JSON text; the driver's dialect does the rest."""
-    ready = jdbc_ready(df)[0]
+    ready = jdbc_ready(df)
     ready = ready.withColumns({f.name: F.col(f.name).cast("long") for f in ready.schema.fields if f.dataType in (T.ByteType(), T.ShortType(), T.IntegerType())})
     ready.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode(mode).save()
