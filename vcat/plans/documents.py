@@ -48,17 +48,45 @@ def group_rows(spark, sf):
     return li.join(table(spark, sf, "part").select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
 
 
+#: What the nested groups and segments are built of.
+NARROW = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "size", "p_type", "p_brand")
+
+
+def per_order(spark, sf):
+    """The line items of each order as a list of narrow structs. Nested groups and segments are built from the list after that: the aggregate
+    sorts its rows where it has many orders, and spills them, so these are kept small."""
+    rows = group_rows(spark, sf).repartition("l_orderkey")
+    return rows.select("l_orderkey", F.struct("sop", *NARROW).alias("_r")).groupBy("l_orderkey").agg(F.collect_list("_r").alias("_rs"))
+
+
 def reports(spark, sf):
-    c = F.col
+    groups = F.array_sort(F.transform("_rs", lambda r: F.struct(r["sop"].alias("sop"), _group(r).alias("g"))))
+    docs = per_order(spark, sf).select("l_orderkey", F.transform(groups, lambda x: x["g"]).alias("_gs"))
+    k = F.col("l_orderkey")
+    head = F.struct(F.lit("CODE").alias("ValueType"), codes("121058", "DCM", "Procedure reported").alias("ConceptNameCodeSequence"),
+                    F.array().cast(kids_type()).alias("ContentSequence"))
+    template = F.when(k % 17 == 0, F.array().cast("array<struct<TemplateIdentifier:string,MappingResource:string>>")).otherwise(
+        F.array(F.struct(F.when(k % 9 == 0, "1501").otherwise("1500").alias("TemplateIdentifier"), F.lit("DCMR").alias("MappingResource"))))
+    box = F.struct(F.lit("CONTAINER").alias("ValueType"), F.concat(F.array(head), "_gs").alias("ContentSequence"))
+    return docs.select(
+        F.concat(F.lit("p"), k % 25).alias("PatientID"), F.concat(F.lit("sr."), k).alias("SOPInstanceUID"),
+        F.concat(F.lit("srse."), k).alias("SeriesInstanceUID"), F.concat(F.lit("desc "), k % 7).alias("SeriesDescription"),
+        F.lit("1.2.840.10008.5.1.4.1.1.88.33").alias("SOPClassUID"), template.alias("ContentTemplateSequence"),
+        F.array(box).alias("ContentSequence"))
+
+
+def _group(row):
+    """The measurement group of a line item."""
+    c = lambda name: row[name]
     even = c("l_orderkey") % 2 == 0
     dcm = lambda v, m: codes(v, "DCM", m)
     site = F.when(even, codes("G-C0E3", "SRT", "Finding Site")).otherwise(codes("363698007", "SCT", "Finding Site"))
     kids = F.array(
         item("TEXT", dcm("112039", "Tracking Identifier"), text=c("sop")),
-        item("UIDREF", dcm("112040", "Tracking Unique Identifier"), uid=F.md5("sop")),
+        item("UIDREF", dcm("112040", "Tracking Unique Identifier"), uid=F.md5(c("sop"))),
         item("UIDREF", dcm("121232", "Source series for segmentation"), uid=c("l_partkey").cast("string")),
         item("IMAGE", dcm("121191", "Referenced Segment"), ref=F.array(F.struct(
-            F.lit(SEG_CLASS).alias("ReferencedSOPClassUID"), F.concat(F.lit("seg."), "l_suppkey").alias("ReferencedSOPInstanceUID"),
+            F.lit(SEG_CLASS).alias("ReferencedSOPClassUID"), F.concat(F.lit("seg."), c("l_suppkey")).alias("ReferencedSOPInstanceUID"),
             F.array(c("l_linenumber").cast("bigint")).alias("ReferencedSegmentNumber")))),
         item("CODE", dcm("121071", "Finding"), concept=codes(c("p_type"), "X", c("p_type"))),
         item("CODE", site, concept=codes(c("p_brand"), "Y", c("p_brand")),
@@ -68,23 +96,8 @@ def reports(spark, sf):
         item("NUM", codes("P", "99X", "Price"), number=c("size").cast("string"),
              kids=child(c("l_linestatus") == "O", dcm("121401", "Derivation"), codes("R-00317", "SRT", "Mean"))),
         item("NUM", codes("N", "99X", "None"), number=F.lit("n/a")))
-    group = F.struct(F.lit("CONTAINER").alias("ValueType"), dcm("125007", "Measurement Group").alias("ConceptNameCodeSequence"),
-                     kids.alias("ContentSequence"))
-    head = F.struct(F.lit("CODE").alias("ValueType"), dcm("121058", "Procedure reported").alias("ConceptNameCodeSequence"),
-                    F.array().cast(kids_type()).alias("ContentSequence"))
-    # Shuffle the narrow line items, then build the nested groups where they are collected.
-    rows = group_rows(spark, sf).repartition("l_orderkey")
-    docs = rows.select("l_orderkey", F.struct("sop", group.alias("g")).alias("_g")).groupBy("l_orderkey").agg(
-        F.transform(F.array_sort(F.collect_list("_g")), lambda x: x["g"]).alias("_gs"))
-    k = c("l_orderkey")
-    template = F.when(k % 17 == 0, F.array().cast("array<struct<TemplateIdentifier:string,MappingResource:string>>")).otherwise(
-        F.array(F.struct(F.when(k % 9 == 0, "1501").otherwise("1500").alias("TemplateIdentifier"), F.lit("DCMR").alias("MappingResource"))))
-    box = F.struct(F.lit("CONTAINER").alias("ValueType"), F.concat(F.array(head), "_gs").alias("ContentSequence"))
-    return docs.select(
-        F.concat(F.lit("p"), k % 25).alias("PatientID"), F.concat(F.lit("sr."), k).alias("SOPInstanceUID"),
-        F.concat(F.lit("srse."), k).alias("SeriesInstanceUID"), F.concat(F.lit("desc "), k % 7).alias("SeriesDescription"),
-        F.lit("1.2.840.10008.5.1.4.1.1.88.33").alias("SOPClassUID"), template.alias("ContentTemplateSequence"),
-        F.array(box).alias("ContentSequence"))
+    return F.struct(F.lit("CONTAINER").alias("ValueType"), dcm("125007", "Measurement Group").alias("ConceptNameCodeSequence"),
+                    kids.alias("ContentSequence"))
 
 
 def kids_type():
@@ -101,21 +114,26 @@ REGION = "array<struct<CodeValue:string,CodingSchemeDesignator:string,CodeMeanin
 INSTANCES = "array<struct<ReferencedSOPInstanceUID:string>>"
 
 
-def segmentation_docs(spark, sf):
-    c = F.col
-    n, k = c("l_linenumber"), c("l_orderkey")
+def _segment(row):
+    """The segment of a line item."""
+    c = lambda name: row[name]
+    n = c("l_linenumber")
     some = n % 3 != 0
     modifiers = F.when(n % 2 == 0, codes(c("p_brand"), "Y", c("p_brand"))).otherwise(F.array().cast(CODES))
     region = F.array(F.struct(c("p_type").alias("CodeValue"), F.lit("X").alias("CodingSchemeDesignator"), c("p_type").alias("CodeMeaning"),
                               modifiers.alias("AnatomicRegionModifierSequence")))
-    seg = F.struct(
+    return F.struct(
         n.alias("SegmentNumber"), F.when(some, region).otherwise(F.array().cast(REGION)).alias("AnatomicRegionSequence"),
         F.when(some, codes("T-D0050", "SRT", "Tissue")).otherwise(F.array().cast(CODES)).alias("SegmentedPropertyCategoryCodeSequence"),
         F.when(some, codes(c("p_brand"), "Y", c("p_brand"))).otherwise(F.array().cast(CODES)).alias("SegmentedPropertyTypeCodeSequence"),
         F.lit("AUTOMATIC").alias("SegmentAlgorithmType"),
         F.when(some, F.array(F.lit("alg"))).otherwise(F.array().cast("array<string>")).alias("SegmentAlgorithmName"),
-        F.md5("sop").alias("TrackingUID"), c("sop").alias("TrackingID"))
-    docs = group_rows(spark, sf).repartition("l_orderkey").select("l_orderkey", seg.alias("_s")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("_s")).alias("SegmentSequence"))
+        F.md5(c("sop")).alias("TrackingUID"), c("sop").alias("TrackingID"))
+
+
+def segmentation_docs(spark, sf):
+    k = F.col("l_orderkey")
+    docs = per_order(spark, sf).select("l_orderkey", F.array_sort(F.transform("_rs", _segment)).alias("SegmentSequence"))
     ref = F.array(F.struct(F.concat(F.lit("img."), k).alias("ReferencedSOPInstanceUID")))
     none = F.array().cast(INSTANCES)
     pick = lambda i: F.when((k % 5 != 0) & (k % 3 == i), ref).otherwise(none)
