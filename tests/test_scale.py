@@ -3,7 +3,11 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
+from vcat.functions.exprs import pack_id, unpack_id
+from vcat.operators import flatten as FL
 from vcat.operators import lifecycle as L
+from vcat.operators import manifests as M
+from vcat.operators import validate as V
 from vcat.plans import documents as D
 from vcat.plans import fixtures as fx
 from vcat.plans import q_lifecycle as QL
@@ -52,3 +56,46 @@ def test_new_objects_do_not_meet_on_a_null_id(spark):
     assert rows == [("a", 1, 1, 1, 5), ("a", 1, 2, 0, 5), ("b", 1, 1, 1, 6), ("c", 1, 1, 0, 7), ("d", 2, 2, 0, None), ("e", 2, 2, 0, None)]
     born = L.apply_version(level, status.filter(F.col("status") == "new"), ["k"], "x", 2)
     assert "isnotnull(old_uuid" in _plan(born)
+
+
+def test_ids_are_shuffled_as_narrow_keys(spark):
+    ids = ["0a1b2c3d-0000-1111-2222-333344445555", "0A1B2C3D-0000-1111-2222-333344445555", "0a1b2c3d000011112222333344445555", "u1", "", "é", None,
+           "0a1b2c3d-0000-1111-2222-333344445555\n", "sixteen-bytes-ab", "zz1b2c3d-0000-1111-2222-333344445555", "\x00" * 17]
+    keys = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "n int, x string").select("n", "x", pack_id("x").alias("k"))
+    rows = keys.select("n", "x", "k", unpack_id("k").alias("y")).orderBy("n").collect()
+    assert [r.y for r in rows] == [r.x for r in rows] == ids
+    assert len({bytes(r.k) for r in rows if r.k is not None}) == len(ids) - 1 and len(rows[0].k) == 16
+    plan = flat(spark, SF).select("i_uuid", "se_uuid")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan[plan.index("Join Inner"):]
+    assert "unhex" in _plan(V.unique_ids(fx.levels(spark, SF)["series"]))
+
+
+def test_urls_are_built_after_the_shuffle(spark):
+    rows = [("s1", "i1", "g", "a"), ("s1", "i1", "g", "a"), ("s0", "i1", "g", "a"), ("s2", "i1", None, "a"), (None, "i1", "g", "b"), ("s1", None, "g", "a"),
+            ("b/s1", "i2", "a", "c"), ("s1", "i2", "a/b", "c")]
+    df = spark.createDataFrame(rows, "se_uuid string, i_uuid string, pub_gcs_bucket string, pub_aws_bucket string")
+    out = M.url_lists(df, ["i_uuid"], {"url": lambda u: u, "old": lambda u: F.replace(u, F.lit("gs://g"), F.lit("gs://h"))})
+    got = {r.i_uuid: (r.url, r.old) for r in out.collect()}
+    assert got["i1"][0] == "[gs://g/s0/i1.dcm, s3://a/s0/i1.dcm, gs://g/s1/i1.dcm, s3://a/s1/i1.dcm]"
+    assert got["i1"][1] == got["i1"][0].replace("gs://g", "gs://h") and got[None][0] == "[]" and got["i2"][0].count("gs://a/b/s1/i2.dcm") == 2
+    assert "s3://" not in _plan(out).split("Aggregate [", 1)[1].split("\n", 1)[1]
+
+
+def test_mutable_metadata_of_unknown_objects(spark):
+    rows = [("st", "se", "i", "g", "a"), ("st", "se", "i", "g", "a"), ("st", None, "i", "g", "a"), ("st", None, "i", "h", "a"), (None, "se", "i", "g", None)]
+    df = spark.createDataFrame(rows, "st_uuid string, se_uuid string, i_uuid string, pub_gcs_bucket string, pub_aws_bucket string").selectExpr(
+        "*", "'Public' AS access", "'u' AS source_url", "'d' AS source_doi", "'d.v1' AS versioned_source_doi")
+    lic = spark.createDataFrame([("d", "l", "s", "u")], "source_doi string, license_long_name string, license_short_name string, license_url string")
+    out = FL.mutable_metadata(df, lic)
+    got = sorted((r.crdc_study_uuid or "", r.crdc_series_uuid or "", r.gcs_url or "", r.aws_url or "") for r in out.collect())
+    assert got == [("", "se", "gs://g/se/i.dcm", ""), ("st", "", "", ""), ("st", "se", "gs://g/se/i.dcm", "s3://a/se/i.dcm")]
+    assert "Aggregate" in _plan(out) and "gs://" not in _plan(out).split("Aggregate [", 1)[1].split("\n", 1)[1]
+
+
+def test_a_series_is_one_set_before_the_shuffle(spark):
+    df = spark.createDataFrame([("se", "s", "b", "i2"), ("se", "s", "a", "i1"), ("se", "s", "b", "i2"), ("se", "s", None, "i3")],
+                               "se_uuid string, series_instance_uid string, sop_instance_uid string, i_uuid string")
+    out = M.series_objects(df, "plain", "p/")
+    assert [r.object for r in out.collect()] == [
+        '{"description":"DICOM series","self_uri":"drs://p/se","SeriesInstanceUID":"s","contents":["drs://p/i3","drs://p/i1","drs://p/i2"]}']
+    assert "collect_set" in _plan(out) and _plan(out).count("Aggregate") == 1

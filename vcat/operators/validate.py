@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vcat.functions.exprs import pack_id
 from vcat.functions.merkle import merkle_rollup
 from vcat.operators.lifecycle import duplicates, same_hash
 
@@ -29,6 +31,8 @@ def unique_ids(*levels: DataFrame, col: str = "uuid") -> DataFrame:
     """Number of ids over all levels, and of distinct ones. Counted per id first, so that copies of one
     id meet after a map-side reduction."""
     ids = reduce(DataFrame.unionByName, [d.select(col) for d in levels])
+    if ids.schema[col].dataType == T.StringType():
+        ids = ids.select(pack_id(col).alias(col))
     return ids.groupBy(col).agg(F.count("*").alias("_n")).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_ids"), F.count("*").alias("n_distinct"))
 
