@@ -13,8 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vcat.functions.exprs import LIVE, SOURCES, uuid_of
+from vcat.functions.exprs import LIVE, SOURCES, pack_id, unpack_id, uuid_of
 from vcat.functions.merkle import EMPTY_MD5, merkle_by_source, merkle_rollup
 from vcat.sources.publish import settle
 
@@ -280,6 +281,15 @@ def predecessor(level: DataFrame, key: list[str], version: int) -> DataFrame:
         F.max(F.when(older, n)).alias("prior_version")).filter("_hit AND prior_uuid IS NOT NULL").drop("_hit")
 
 
+def _without_parents(edges: DataFrame, gone: DataFrame, pk: str, ck: str) -> DataFrame:
+    """The edges whose parent is not among ``gone``. Ids go through the join as narrow keys, and the edges are not sorted for it: the parents
+    of a partition, several times fewer, are hashed."""
+    text = [c for c in (pk, ck) if edges.schema[c].dataType == T.StringType()]
+    key = pack_id("uuid") if pk in text else F.col("uuid")
+    kept = edges.withColumns({c: pack_id(c) for c in text}).join(gone.select(key.alias(pk)).hint("shuffle_hash"), pk, "left_anti")
+    return kept.withColumns({c: unpack_id(c) for c in text}).select(*edges.columns)
+
+
 def rollback(levels: dict[str, DataFrame], edges: dict[str, DataFrame], order: list[str], version: int,
              only: list[str] | None = None, name: str = "collection_id"):
     """Undo a version: drop the rows it made, re-open the rows it closed, drop the edges of dropped
@@ -307,7 +317,7 @@ def rollback(levels: dict[str, DataFrame], edges: dict[str, DataFrame], order: l
             gone = gone.join(ids, "uuid", "left_semi")
         if child:
             e, pk, ck = edges[f"{lv}_{child}"], f"{lv}_uuid", f"{child}_uuid"
-            out_edges[f"{lv}_{child}"] = e.join(gone.withColumnRenamed("uuid", pk), pk, "left_anti")
+            out_edges[f"{lv}_{child}"] = _without_parents(e, gone, pk, ck)
             if ids is not None:
                 ids = e.join(ids.withColumnRenamed("uuid", pk), pk, "left_semi").select(F.col(ck).alias("uuid"))
     top = f"version_{order[0]}"
