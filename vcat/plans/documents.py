@@ -48,15 +48,28 @@ def group_rows(spark, sf):
     return li.join(table(spark, sf, "part").select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
 
 
-#: What the nested groups and segments are built of.
-NARROW = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "size", "p_type", "p_brand")
+#: Most line items of a partition when orders are listed; above it there are more partitions than the session's.
+PART_ROWS = 250_000
+
+#: What the nested groups and segments are built of, besides the order's key.
+NARROW = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "size", "p_type", "p_brand")
 
 
 def per_order(spark, sf):
-    """The line items of each order as a list of narrow structs. Nested groups and segments are built from the list after that: the aggregate
-    sorts its rows where it has many orders, and spills them, so these are kept small."""
-    rows = group_rows(spark, sf).repartition("l_orderkey")
-    return rows.select("l_orderkey", F.struct("sop", *NARROW).alias("_r")).groupBy("l_orderkey").agg(F.collect_list("_r").alias("_rs"))
+    """The line items of each order as a list of structs. Nested groups and segments are built from the list after that: the aggregate
+    sorts its rows where it has many orders, and spills them, so these are kept small, without the instance key, which is made of the others, and
+    there are as many partitions as keep the rows of each few."""
+    rows = group_rows(spark, sf).select("l_orderkey", F.struct(*NARROW).alias("_r"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table(spark, sf, "lineitem").count() // PART_ROWS))
+    lists = rows.repartition(parts, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list("_r").alias("_rs"))
+    return lists.select("l_orderkey", F.transform("_rs", _whole).alias("_rs"))
+
+
+def _whole(row):
+    """A narrow struct with the order's key and the instance key."""
+    k = F.col("l_orderkey")
+    sop = F.concat_ws(".", *[c.cast("string") for c in (k, *[row[x] for x in ("l_linenumber", "l_partkey", "l_suppkey", "size")])])
+    return F.struct(sop.alias("sop"), k.alias("l_orderkey"), *[row[x].alias(x) for x in NARROW])
 
 
 def reports(spark, sf):
