@@ -1,5 +1,7 @@
 """What grows with the input is not written or shuffled more than the result needs."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
@@ -99,3 +101,71 @@ def test_a_series_is_one_set_before_the_shuffle(spark):
     assert [r.object for r in out.collect()] == [
         '{"description":"DICOM series","self_uri":"drs://p/se","SeriesInstanceUID":"s","contents":["drs://p/i3","drs://p/i1","drs://p/i2"]}']
     assert "collect_set" in _plan(out) and _plan(out).count("Aggregate") == 1
+
+
+IDS = ("0a000000-0000-0000-0000-000000000001", "0a000000-0000-0000-0000-000000000002", "no uuid", None)
+
+
+def test_staging_map_meets_within_an_instance(spark):
+    rows = [(i, s, a, b) for i in IDS for s, a, b in ((IDS[0], "src_a", "x"), (IDS[0], "src_a", "x"), (IDS[0], "src_b", "y"), ("s", None, "x"), (None, "src_a", "x"), ("t", "src_a", None))]
+    df = spark.createDataFrame(rows, "i_uuid string, se_uuid string, i_source string, pub_gcs_bucket string")
+    u = lambda b, s, i: b and f"gs://{b}/{s}/{i}.dcm"
+    want = {(r[0], u(r[2] and f"v2_{r[2]}", r[1], r[0]), u(q[3], q[1], q[0])) for r in rows for q in rows if None not in r[:2] and r[:2] == q[:2]}
+    got = M.staging_map(df, 2)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert "Join" not in _plan(got) and _plan(got).count("Aggregate") == 1
+
+
+def test_sources_and_dois_come_from_one_small_table(spark):
+    cols = "collection_id string, source_doi string, source_url string, versioned_source_doi string, i_source string, i_rev_version int, version int, i_excluded boolean, i_redacted boolean, i_uuid string"
+    base = [("c", "d", "u", f"d.v{v}", s, v, v, False, False) for s in ("src_a", "src_b") for v in (1, 2)] + [(None, None, None, None, "src_b", 1, 1, True, False)]
+    df = spark.createDataFrame([(*r, str(n)) for r in base for n in range(5)], cols)
+    few = FL.described(df)
+    assert few.count() == len(base)
+    access = spark.createDataFrame([("d", "Cr", "Public")], "source_doi string, type string, access string")
+    none = lambda c: spark.createDataFrame([], f"source_doi string, {c} string")
+    for f in (lambda x: FL.all_sources(x, access, none("metadata_sunset"), none("analysis_result_id")), FL.newest_versioned_doi):
+        assert sorted(map(str, f(df).collect())) == sorted(map(str, f(few).collect()))
+
+
+def test_rollback_hashes_parents_and_sorts_no_edges(spark):
+    out = L.rollback(fx.levels(spark, SF), fx.edges(spark, SF), ["collection", "patient", "study", "series", "instance"], 2)[1]
+    plan = out["series_instance"]._jdf.queryExecution().toString()
+    assert "strategy=shuffle_hash" in plan and "unhex" in plan
+    e = spark.createDataFrame([(p, c, n) for n, p in enumerate(IDS) for c in IDS], "series_uuid string, instance_uuid string, n int")
+    gone = spark.createDataFrame([(IDS[0],), (IDS[0],), ("no uuid",), (None,)], "uuid string")
+    got = L._without_parents(e, gone, "series_uuid", "instance_uuid")
+    assert got.columns == e.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, e.filter(F.col("n").isin(1, 3)).collect()))
+
+
+def test_objects_of_a_series_are_shuffled_as_narrow_keys(spark):
+    df = spark.createDataFrame([("s", "x", "p", i) for i in reversed(IDS)] + [("s", "x", "a", IDS[1])], "se_uuid string, series_instance_uid string, sop_instance_uid string, i_uuid string")
+    out = M.series_objects(df, "ids", "")
+    assert "unhex" in _plan(out).split("collect_set", 1)[1]
+    row = out.first()
+    assert row.se_uuid == "s" and json.loads(row.object)["instance_uuids"] == [IDS[1], None, IDS[0], IDS[1], "no uuid"]
+
+
+def test_deletions_are_compared_on_narrow_keys(spark):
+    from vcat.operators import redact as R
+
+    rows = spark.createDataFrame([(v, i, "wide") for v in (1, 2) for i in IDS], "version int, i_uuid string, k string")
+    gone = spark.createDataFrame([(IDS[0], 1, 1), ("no uuid", 2, 0), (None, 1, 0)], "i_uuid string, i_rev_version int, i_final_version int")
+    got = R.check_deleted(rows, rows.filter("i_uuid <> '%s'" % IDS[1]), gone, 2)
+    assert "unhex" in _plan(got)
+    want = [(1, IDS[0], "right"), (2, "no uuid", "right"), *[(v, IDS[1], "left") for v in (1, 2)], *[(v, None, "left") for v in (1, 2)]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_withdrawn_instances_are_picked_before_the_joins(spark):
+    plan = _plan(QR.redactions(spark, SF))
+    assert "c_custkey" not in plan.split("Join LeftSemi", 1)[1]
+
+
+def test_orders_are_listed_in_more_partitions_where_they_are_many(spark, monkeypatch):
+    monkeypatch.setattr(D, "PART_ROWS", 500)
+    df = D.per_order(spark, SF)
+    assert df.rdd.getNumPartitions() == -(-fx.table(spark, SF, "lineitem").count() // 500) > 4
+    assert "concat_ws(.," not in _plan(df).split("collect_list", 1)[1].split("\n", 1)[1]
+    assert {r.sop for r in df.select(F.inline("_rs")).collect()} == {r.sop for r in fx.items(spark, SF).collect()}
