@@ -169,3 +169,12 @@ def test_orders_are_listed_in_more_partitions_where_they_are_many(spark, monkeyp
     assert df.rdd.getNumPartitions() == -(-fx.table(spark, SF, "lineitem").count() // 500) > 4
     assert "concat_ws(.," not in _plan(df).split("collect_list", 1)[1].split("\n", 1)[1]
     assert {r.sop for r in df.select(F.inline("_rs")).collect()} == {r.sop for r in fx.items(spark, SF).collect()}
+
+
+def test_groups_are_not_shuffled_for_a_bounded_lookup(spark, monkeypatch):
+    from vcat.operators import nested as N
+
+    plan = lambda: _plan(N.measurement_groups(D.reports(spark, SF), D.seg_lookup(spark, SF)))
+    assert "strategy=broadcast" in plan()
+    monkeypatch.setattr(N, "LOOKUP_ROWS", 1)
+    assert "strategy=broadcast" not in plan()

@@ -27,6 +27,9 @@ DERIVATION, LATERALITY = ("121401", "DCM"), ("272741003", "SCT")
 
 CODE = "struct<CodeValue:string,CodingSchemeDesignator:string,CodeMeaning:string>"
 
+#: Most rows of a look-up that every executor gets whole (two ids a row); beyond it the planner shuffles the groups to meet it.
+LOOKUP_ROWS = 1_000_000
+
 
 def is_code(c: Column, code: tuple[str, str]) -> Column:
     return (c["CodeValue"] == code[0]) & (c["CodingSchemeDesignator"] == code[1])
@@ -65,7 +68,8 @@ def measurement_groups(dm: DataFrame, lookup: DataFrame | None = None) -> DataFr
 
     The group number is the position within its container, so with several containers in a document
     the number alone is not a key; rows are formed within one group, never across containers.
-    ``lookup`` (SOPInstanceUID, SeriesInstanceUID) resolves the segmentation; default ``dm``.
+    ``lookup`` (SOPInstanceUID, SeriesInstanceUID) resolves the segmentation; default ``dm``. The groups are far wider than it is, so they are
+    not shuffled for one of at most ``LOOKUP_ROWS`` rows, which are counted for that.
     """
     rows = structured_reports(dm).select("PatientID", "SOPInstanceUID", "SeriesInstanceUID", "SeriesDescription", "ContentSequence")
     boxes = unnest(rows, "ContentSequence", "_box").withColumn("_kids", F.col("_box.ContentSequence")).drop("_box")
@@ -90,6 +94,8 @@ def measurement_groups(dm: DataFrame, lookup: DataFrame | None = None) -> DataFr
         "segmentationSegmentNumber": first("_seg.ReferencedSegmentNumber")}).drop("_seg")
     seg = (dm if lookup is None else lookup).select(
         F.col("SOPInstanceUID").alias("segmentationInstanceUID"), F.col("SeriesInstanceUID").alias("segmentationSeriesUID"))
+    if lookup is not None and lookup.count() <= LOOKUP_ROWS:
+        seg = F.broadcast(seg)
     return groups.join(seg, "segmentationInstanceUID")
 
 
