@@ -178,3 +178,16 @@ def test_groups_are_not_shuffled_for_a_bounded_lookup(spark, monkeypatch):
     assert "strategy=broadcast" in plan()
     monkeypatch.setattr(N, "LOOKUP_ROWS", 1)
     assert "strategy=broadcast" not in plan()
+
+
+def test_deliveries_are_shuffled_once_and_stored_small(spark):
+    from vcat.plans.registry import QUERIES
+    from vcat.streaming import intake
+
+    rows = [("a", 1, "x", None), ("a", 1, "x", 5), ("a", 1, None, 9), ("a", 0, "z", 9), ("b", None, None, None), (None, 2, "u", 1), (None, 2, "v", 0)]
+    df = spark.createDataFrame(rows, "sop_instance_uid string, delivered int, hash string, size int").select("hash", "sop_instance_uid", "size", "delivered")
+    out = intake._newest(df, "delivered")
+    assert out.columns == ["sop_instance_uid", "hash", "size", "delivered"] and "max_by" not in _plan(out)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("a", "x", 5, 1), ("b", None, None, None), (None, "v", 0, 2)], key=str)
+    files = QUERIES["t1_ingest_manifests"](spark, SF).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
