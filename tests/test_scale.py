@@ -191,3 +191,10 @@ def test_deliveries_are_shuffled_once_and_stored_small(spark):
     assert sorted(map(tuple, out.collect()), key=str) == sorted([("a", "x", 5, 1), ("b", None, None, None), (None, "v", 0, 2)], key=str)
     files = QUERIES["t1_ingest_manifests"](spark, SF).inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_cases_and_sources_come_from_one_reading(spark):
+    from vcat.plans.registry import QUERIES
+
+    for name in ("a8_cases_per_doi", "a8_cases_per_collection"):
+        assert not any(f.endswith("/lineitem.parquet") for f in QUERIES[name](spark, SF).inputFiles())

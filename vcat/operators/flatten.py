@@ -92,11 +92,13 @@ def with_access(df: DataFrame, access: DataFrame, sunset: DataFrame) -> DataFram
         "metadata_sunset": F.coalesce("_s", F.lit(0).cast("bigint"))}).drop("_t", "_a", "_s")
 
 
-def described(flat: DataFrame) -> DataFrame:
-    """The distinct values of all columns that sources and versioned DOIs are made of. What reads these columns alone, and takes no account of
-    repeated rows, gives the same from this small table as from the flattened rows."""
-    return flat.select("collection_id", "source_doi", "source_url", "versioned_source_doi", "i_source", "i_rev_version", "version",
-                       "i_excluded", "i_redacted").distinct()
+_DESCRIBES = ("collection_id", "source_doi", "source_url", "i_source", "version", "i_excluded", "i_redacted")
+
+
+def described(flat: DataFrame, *more: str) -> DataFrame:
+    """The distinct values of all columns that sources and versioned DOIs are made of; ``more`` takes the place of those of the DOIs. What reads these
+    columns alone, and takes no account of repeated rows, gives the same from this small table as from the flattened rows."""
+    return flat.select(*_DESCRIBES, *(more or ("versioned_source_doi", "i_rev_version"))).distinct()
 
 
 def all_sources(flat: DataFrame, access: DataFrame, sunset: DataFrame, analysis: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from vcat.operators import metadata as MD
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import with_
-from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, flat, image_rows
+from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, current_cases, flat, image_rows
 from vcat.plans.registry import query
 
 
@@ -44,12 +44,12 @@ _DM = "dm AS (SELECT sop AS dsop, CASE WHEN l_linestatus = 'O' THEN 'CT' ELSE 'M
 
 @query("a8_cases_per_collection", with_("current_rows") + """SELECT collection_id, CAST(count(DISTINCT submitter_case_id) AS BIGINT) AS cases FROM current_rows GROUP BY 1""")
 def a8(spark, sf):
-    return MD.cases_per(current(spark, sf), ["collection_id"])
+    return MD.cases_per(current_cases(spark, sf), ["collection_id"])
 
 
 @query("a8_cases_per_doi", with_("current_rows") + "SELECT source_doi, CAST(count(DISTINCT submitter_case_id) AS BIGINT) AS cases FROM current_rows GROUP BY 1")
 def a8d(spark, sf):
-    return MD.cases_per(current(spark, sf), ["source_doi"])
+    return MD.cases_per(current_cases(spark, sf), ["source_doi"])
 
 
 @query("a9_modalities", with_("current_rows", extra=_DM) + """SELECT source_doi, string_agg(DISTINCT modality, ', ' ORDER BY modality) AS modalities
