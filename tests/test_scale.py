@@ -198,3 +198,16 @@ def test_cases_and_sources_come_from_one_reading(spark):
 
     for name in ("a8_cases_per_doi", "a8_cases_per_collection"):
         assert not any(f.endswith("/lineitem.parquet") for f in QUERIES[name](spark, SF).inputFiles())
+
+
+def test_hierarchy_is_joined_once_for_the_sources_and_the_current_rows(spark):
+    from vcat.plans.registry import QUERIES
+
+    assert not any(f.endswith("/orders.parquet") for f in QUERIES["j10_release_times"](spark, SF).inputFiles())
+    flags = [(v, x, r) for v in (1, 2, None) for x in (True, False, None) for r in (True, False, None)]
+    df = spark.createDataFrame([("c", "d", "u", "s", *f, str(n)) for n, f in enumerate(flags)],
+                               "collection_id string, source_doi string, source_url string, i_source string, version int, i_excluded boolean, i_redacted boolean, i_uuid string")
+    out = FL.narrow(df, 2, "i_uuid", "source_url")
+    assert out.count() == len(flags) and out.drop("i_uuid").columns == df.drop("i_uuid").select(*out.drop("i_uuid").columns).columns
+    some = "version = 2 AND NOT i_excluded AND NOT i_redacted"
+    assert out.filter("i_uuid IS NOT NULL").collect() == out.filter(some).collect() and out.filter(some).first().i_uuid == df.filter(some).first().i_uuid

@@ -101,6 +101,12 @@ def described(flat: DataFrame, *more: str) -> DataFrame:
     return flat.select(*_DESCRIBES, *(more or ("versioned_source_doi", "i_rev_version"))).distinct()
 
 
+def narrow(flat: DataFrame, version: int, *cols: str) -> DataFrame:
+    """The flattened rows with what sources are made of and some columns of the public rows of one version; of other rows, these are NULL."""
+    shown = (F.col("version") == version) & ~F.col("i_excluded") & ~F.col("i_redacted")
+    return flat.select(*_DESCRIBES, *[F.when(shown, F.col(c)).alias(c) for c in cols if c not in _DESCRIBES])
+
+
 def all_sources(flat: DataFrame, access: DataFrame, sunset: DataFrame, analysis: DataFrame) -> DataFrame:
     """One row per collection, DOI and source, with access, buckets and analysis-result flag. The
     distinct runs before the lookups, so these join a small table."""
