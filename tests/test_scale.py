@@ -211,3 +211,9 @@ def test_hierarchy_is_joined_once_for_the_sources_and_the_current_rows(spark):
     assert out.count() == len(flags) and out.drop("i_uuid").columns == df.drop("i_uuid").select(*out.drop("i_uuid").columns).columns
     some = "version = 2 AND NOT i_excluded AND NOT i_redacted"
     assert out.filter("i_uuid IS NOT NULL").collect() == out.filter(some).collect() and out.filter(some).first().i_uuid == df.filter(some).first().i_uuid
+
+
+def test_collection_metadata_joins_the_hierarchy_once(spark):
+    from vcat.plans.registry import QUERIES
+
+    assert not any(f.endswith("/orders.parquet") for f in QUERIES["n14_collection_metadata"](spark, SF).inputFiles())

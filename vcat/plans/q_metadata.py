@@ -8,7 +8,7 @@ from vcat.operators import metadata as MD
 from vcat.plans import fixtures as fx
 from vcat.plans.fixtures import table
 from vcat.plans.oracle import with_
-from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, current_cases, flat, image_rows
+from vcat.plans.q_flatten import TS, _NEWEST, _aux_sql, _shown, aux, current, current_cases, current_columns, flat, image_rows
 from vcat.plans.registry import query
 
 
@@ -134,7 +134,8 @@ shown AS (SELECT srcs.c, string_agg(sid || '/' || title || '/' || st || '/' || d
 def n14(spark, sf):
     desc = table(spark, sf, "region").select(F.lower(F.replace("r_name", F.lit(" "), F.lit("_"))).alias("collection_id"),
                                              F.concat(F.lit("about "), F.lower("r_name")).alias("description"))
-    out = MD.collection_metadata(records(spark, sf), results(spark), current(spark, sf), image_rows(spark, sf), desc)
+    rows = current_columns(spark, sf, "submitter_case_id", "sop_instance_uid")
+    out = MD.collection_metadata(records(spark, sf), results(spark), rows, image_rows(spark, sf), desc)
     show = F.array_join(F.transform("sources", lambda s: F.concat_ws("/", s["source_id"], s["source_title"], s["source_type"], s["source_doi"], s["modalities"])), ";")
     return out.select("collection_name", show.alias("sources"), "subjects", "description", "Program")
 
