@@ -146,7 +146,8 @@ def n14(spark, sf):
 def n15(spark, sf):
     up = results(spark).drop("source_doi").withColumnRenamed("source_doi_upper", "source_doi")
     desc = results(spark).filter("analysis_result_id = 'Res-8'").select(F.col("analysis_result_id").alias("id"), F.lit("eight").alias("description"))
-    out = MD.analysis_metadata(up, current(spark, sf), image_rows(spark, sf), desc)
+    rows = current_columns(spark, sf, "submitter_case_id", "sop_instance_uid")
+    out = MD.analysis_metadata(up, rows, image_rows(spark, sf), desc)
     return out.select("analysis_result_id", "analysis_result_title", "source_doi", "cancer_types", "tumor_locations", "collections", "subjects", "modalities", "description")
 
 
